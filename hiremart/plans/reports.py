@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hiremart import config as C
 from hiremart.functions import buckets
+from hiremart.functions.keys import date_id
 from hiremart.functions.text import initcap_words
 from hiremart.operators.aggregate import mean_millions, with_share
 from hiremart.operators.joins import lookup
@@ -101,9 +102,12 @@ def _company_jobs(fact: DataFrame, companies: DataFrame) -> DataFrame:
 
 def hiring_trend(fact: DataFrame, dates: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     """Jobs with a stated salary and their mean salary per day, back to ``days`` before ``as_of``."""
-    window = dates.where(F.col("date_day") >= F.date_sub(as_of, days)).select("date_id", "date_day")
+    start = F.date_sub(as_of, days)
+    window = dates.where(F.col("date_day") >= start).select("date_id", "date_day")
     both = F.col("salary_min") + F.col("salary_max")
-    daily = fact.where(F.col("salary_min") > 0).groupBy("date_id").agg(
+    # The same bound on the fact's own key reaches its scan.
+    recent = fact.where((F.col("date_id") >= date_id(start)) & (F.col("salary_min") > 0))
+    daily = recent.groupBy("date_id").agg(
         F.count_distinct("job_sk").alias("total_active_jobs"),
         F.sum(both).alias("_sum"), F.count(both).alias("_n"))
     # Days are aggregated first: the join sees one row per day on either side.
