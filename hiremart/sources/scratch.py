@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hiremart.sources import files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -46,9 +48,7 @@ class Scratch:
 
     def close(self) -> None:
         if self._count:
-            jvm = self._spark._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self._root)
-            path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+            files.delete(self._spark, self._root)
 
     def __enter__(self) -> "Scratch":
         return self
