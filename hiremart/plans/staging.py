@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hiremart.config import Config
 from hiremart.functions.keys import surrogate_key
-from hiremart.functions.salary import parse_salary
+from hiremart.functions.salary import with_salary
 from hiremart.functions.text import blank_to_null
 from hiremart.operators.dedup import first_per_key
 
@@ -28,8 +28,8 @@ COLUMNS = [
 
 def typed_postings(raw: DataFrame, cfg: Config) -> DataFrame:
     """Normalise text, parse salaries and derive business keys; one output row per input row."""
-    pay = parse_salary("salary", cfg.usd_rate)
-    cleaned = raw.where(F.trim("job_url") != "").select(
+    priced = with_salary(raw.where(F.trim("job_url") != ""), "salary", cfg.usd_rate)
+    cleaned = priced.select(
         F.col("crawled_at").cast("timestamp_ntz").alias("snapshot_ts"),
         F.lower(F.trim("job_url")).alias("job_url"),
         blank_to_null("title").alias("title"),
@@ -39,9 +39,7 @@ def typed_postings(raw: DataFrame, cfg: Config) -> DataFrame:
         *[blank_to_null(c).alias(c) for c in TEXTS],
         blank_to_null("working_addresses").alias("working_addresses_raw"),
         blank_to_null("working_times").alias("working_times"),
-        pay.currency.alias("salary_currency"),
-        pay.minimum.alias("salary_min"),
-        pay.maximum.alias("salary_max"),
+        "salary_currency", "salary_min", "salary_max",
     )
     company = [F.coalesce(F.col(c), F.lit("")) for c in LOWERED]
     return cleaned.select(
@@ -63,7 +61,7 @@ def stg_postings(raw: DataFrame, cfg: Config) -> DataFrame:
 
 def salary_failures(raw: DataFrame, cfg: Config) -> DataFrame:
     """Postings whose salary carries digits but gives no amount, in the shape of a check."""
-    failed = parse_salary("salary", cfg.usd_rate).failed
-    return raw.where(F.trim("job_url") != "").agg(
+    keyed = raw.where(F.trim("job_url") != "").select("salary")
+    return with_salary(keyed, "salary", cfg.usd_rate).agg(
         F.lit("salary_parse_failed").alias("check"), F.lit("salary").alias("column_name"),
-        F.count_if(failed).alias("n_violations"))
+        F.count_if("salary_failed").alias("n_violations"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from hiremart.config import POSTING_COLUMNS, REQUIRED_COLUMNS, UPDATE_COLUMNS, Config
 from hiremart.functions.keys import is_job_url, url_path
-from hiremart.functions.salary import parse_salary
+from hiremart.functions.salary import with_salary
 from hiremart.functions.text import clean_title, extract_deadline, initcap_words, squash
 from hiremart.operators import extract as X, quality as Q
 from hiremart.operators.aggregate import with_share
@@ -85,11 +85,10 @@ def stg_postings_model(spark, sf_dir):
 
 @query
 def salary_parse(spark, sf_dir):
-    pay = parse_salary("salary", CFG.usd_rate)
-    return postings(spark, sf_dir).select(
-        "job_url", "crawled_at", "salary", pay.currency.alias("salary_currency"),
-        pay.multiplier.alias("multiplier"), pay.minimum.alias("salary_min"),
-        pay.maximum.alias("salary_max"))
+    texts = postings(spark, sf_dir).select(
+        "job_url", "crawled_at", "salary", F.col("salary").alias("_text"))
+    return with_salary(texts, "_text", CFG.usd_rate).withColumnRenamed(
+        "salary_multiplier", "multiplier").drop("salary_failed")
 
 
 @query

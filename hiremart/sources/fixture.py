@@ -34,6 +34,8 @@ def _cycle(values: list[str | None], number: Column) -> Column:
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem, part, supplier, nation = (
         read(spark, sf_dir, t) for t in ("orders", "lineitem", "part", "supplier", "nation"))
+    # The partitioning the join with the lines needs anyway; it also spreads a one-file table.
+    orders = orders.repartition("o_orderkey")
     first_part = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_partkey").alias("p_partkey"))
     suppliers = supplier.agg(F.count("*").alias("n")).scalar()
@@ -47,10 +49,10 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.when(key % 50 == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
         .alias("variant"))
     base = (
-        jobs.join(supplier.select("s_suppkey", "s_name"), "s_suppkey")
-        .join(nation.select("n_nationkey", "n_name"), "n_nationkey")
-        .join(first_part, "o_orderkey", "left")
-        .join(part.select("p_partkey", "p_name", "p_type", "p_brand"), "p_partkey", "left"))
+        jobs.join(first_part, "o_orderkey", "left")
+        .join(part.select("p_partkey", "p_name", "p_type", "p_brand"), "p_partkey", "left")
+        .join(supplier.select("s_suppkey", "s_name"), "s_suppkey")
+        .join(nation.select("n_nationkey", "n_name"), "n_nationkey"))
     jk, sk = F.col("jk").cast("string"), F.col("s_suppkey")
     again = F.col("variant") == 1
 
