@@ -62,7 +62,7 @@ def with_salary(df: DataFrame, column: str, usd_rate: int) -> DataFrame:
     rate = F.when(F.col("salary_currency") == "USD", F.lit(usd_rate)).otherwise(F.lit(1))
     counted = worded.select(
         *others, "salary_currency", "salary_multiplier",
-        (F.col("salary_multiplier") * rate).cast("decimal(12,0)").alias("_factor"),
+        (F.col("salary_multiplier").cast("bigint") * rate).cast("decimal(12,0)").alias("_factor"),
         # Only digits and points are left: separators of thousands go with the words.
         *[F.regexp_replace(c, r"[^0-9.]", "").alias(c) for c in ("_low", "_high")])
     priced = counted.select(
