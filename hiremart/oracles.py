@@ -399,6 +399,14 @@ _CARD = f"""cards AS (
   WHERE trim(job_url, ' ') <> '' AND salary IS NOT NULL AND title IS NOT NULL)"""
 
 
+def _unescape(column: str) -> str:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"),
+                         ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "),
+                         ("&amp;", "&")):
+        column = f"replace({column}, '{entity}', '{char}')"
+    return column
+
+
 def _or(column: str, fallback: str) -> str:
     return f"coalesce(nullif({_FLAT.format(column)}, ''), {fallback})"
 
@@ -598,6 +606,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props FROM (
               SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn
               FROM events) WHERE rn = 1""",
+        "extract_pages": rf"""
+            WITH parts AS (
+              SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1, 's') AS title,
+                regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') AS h1,
+                regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's') AS ads,
+                array_to_string(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'),
+                  'href="([^"]*)"', 1), ' ') AS links
+              FROM pages)
+            SELECT page_id, {", ".join(
+                f"nullif({_FLAT.format(_unescape(c))}, '') AS {c}" for c in ("title", "h1", "ads"))},
+              {_unescape("links")} AS links FROM parts""",
         "extract_listing": _raw(f", {_CARD} SELECT * FROM cards"),
         "listing_dedup": _raw(f"""
             , {_CARD}

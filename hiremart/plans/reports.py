@@ -28,9 +28,10 @@ def top_keywords(fact: DataFrame, bridge: DataFrame, tags: DataFrame, limit: int
     jobs = latest_facts(fact).where(F.col("job_sk").isNotNull()).select("job_sk").distinct()
     # The bridge holds a pair once and jobs are distinct: rows are distinct jobs per tag.
     counts = bridge.join(jobs, "job_sk").groupBy("tag_id").agg(F.count("*").alias("job_count"))
-    named = counts.join(tags, "tag_id").select(F.col("tag_name").alias("keyword_name"), "job_count")
-    ranked = with_share(named, "job_count", "appearance_percentage")
-    return ranked.orderBy(F.desc("job_count"), "keyword_name").limit(limit)
+    shared = with_share(counts, "job_count", "appearance_percentage")
+    named = shared.join(tags, "tag_id").select(
+        F.col("tag_name").alias("keyword_name"), "job_count", "appearance_percentage")
+    return named.orderBy(F.desc("job_count"), "keyword_name").limit(limit)
 
 
 def salary_by_experience(fact: DataFrame, jobs: DataFrame) -> DataFrame:

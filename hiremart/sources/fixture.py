@@ -34,8 +34,11 @@ def _cycle(values: list[str | None], number: Column) -> Column:
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem, part, supplier, nation = (
         read(spark, sf_dir, t) for t in ("orders", "lineitem", "part", "supplier", "nation"))
-    # The partitioning the join with the lines needs anyway; it also spreads a one-file table.
-    orders = orders.repartition("o_orderkey")
+    # The partitioning the join with the lines needs anyway. The count grows with the files of the
+    # table and is fixed, so that the narrow key rows are not packed into a few tasks which then
+    # would do all the text work.
+    tasks = max(spark.sparkContext.defaultParallelism, orders.rdd.getNumPartitions())
+    orders = orders.repartition(tasks, "o_orderkey")
     first_part = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_partkey").alias("p_partkey"))
     suppliers = supplier.agg(F.count("*").alias("n")).scalar()
