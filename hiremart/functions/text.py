@@ -94,5 +94,5 @@ def parse_deadline(col: Column | str, regex_mode: str) -> Column:
     if regex_mode == "as_written":
         # The doubled backslashes ask for literal text no deadline contains.
         return F.lit(None).cast("date")
-    parsed = F.try_to_timestamp(_c(col), F.lit("d/M/yyyy")).cast("date")
+    parsed = F.try_to_date(_c(col), "d/M/yyyy")
     return F.when(_c(col).rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), parsed)
