@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, packing, token_counts
-from hiremart.llm.common import documents
+from hiremart.llm import byte_bpe, language, packing, token_counts, toxicity
+from hiremart.llm.common import crc_of, documents
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 TOKEN_LIMIT = 2048
@@ -20,6 +20,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_of() % 4 == 2
+    found = language.predict(docs, language.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
     encoded = byte_bpe.encode(documents(spark, sf_dir), path, pattern)
@@ -33,8 +40,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_of() % 5 == 0
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: fn for fn in (op2_packing, op6_byte_bpe, op9_token_counts)}
+    return {fn.__name__: fn for fn in (
+        op2_packing, op5_language, op6_byte_bpe, op9_token_counts, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,9 +27,9 @@ _LENGTHS: dict[tuple[str, int], dict[str, int]] = {}
 def frequent_lengths(docs: DataFrame, path: str) -> tuple[str, bytes]:
     """Frequent pre-tokens, one a line, and a byte with the token count of each: at most 2 MB."""
     tokens, seen = ChunkIds(path), Counter()
-    few = docs.select("text").where(F.length("text") <= WARM_CHARS).limit(WARM_ROWS)
-    for text in few.toArrow().column("text").to_pylist():
-        seen.update(tokens.split(text))
+    few = docs.select("text").where(F.length("text") <= WARM_CHARS).take(WARM_ROWS)  # the first tasks' rows
+    for row in few:
+        seen.update(tokens.split(row["text"]))
     chunks = [c for c, n in seen.most_common(TABLE) if n > 1 and len(c) <= ENTRY_CHARS and c.isprintable()]
     return "\n".join(chunks), bytes(min(255, len(tokens.encode(c)) // 4) for c in chunks)
 
