@@ -31,8 +31,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def crc_of(column: str = "doc_id") -> Column:
-    """crc32 of the id written as text, the contract's fold function."""
-    return F.crc32(F.col(column).cast("string").cast("binary"))
+    """crc32 of the id written as text (null: empty), the contract's fold function."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[dict[str, list]]],

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, language, packing, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, language, packing, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_of() % 4 == 2
@@ -50,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
-        op2_packing, op5_language, op6_byte_bpe, op9_token_counts, op10_toxicity)}
+        op2_packing, op4_chosen_path, op5_language, op6_byte_bpe, op9_token_counts, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
