@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, language, packing, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, language, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
+from hiremart.sources.scratch import Scratch
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 TOKEN_LIMIT = 2048
@@ -20,6 +21,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).select(
+        "doc_id", *quality.STATS, "base_failed", "kept", "distance")
+
+
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
 
@@ -39,6 +45,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    found = secrets.scan_history(documents(spark, sf_dir), scratch.path("ledger"), scratch)
+    base = secrets.of_kind(F.col("spans"), "assign", "access", "hex")
+    counts = [F.size(secrets.of_kind(F.col("spans"), kind)).cast("bigint").alias(f"n_{kind}")
+              for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.written(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.written(F.col("spans")).alias("spans"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -54,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
-        op2_packing, op4_chosen_path, op5_language, op6_byte_bpe, op9_token_counts, op10_toxicity)}
+        op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op8_secrets, op9_token_counts, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
