@@ -40,6 +40,11 @@ class Scratch:
         self._root = f"{checkpoint_root(spark)}/hiremart/{uuid.uuid4().hex}"
         self._count = 0
 
+    def path(self, name: str) -> str:
+        """A folder of this scratch space that the caller writes itself."""
+        self._count += 1
+        return f"{self._root}/{name}"
+
     def stage(self, df: DataFrame) -> DataFrame:
         self._count += 1
         path = f"{self._root}/{self._count:04d}"
