@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, language, packing, quality, secrets, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, fingerprint, language, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 from hiremart.sources.scratch import Scratch
 
@@ -15,6 +15,20 @@ WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 TOKEN_LIMIT = 2048
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = fingerprint.with_next(docs, {"fingerprint": fingerprint.fingerprint(F.col("text"))}, ["text", "fingerprint"])
+    cut = F.floor(F.length("text") / 3).cast("int")
+    rows = rows.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"), "fingerprint", "next_fingerprint",
+        F.concat(F.substr("text", F.lit(1), F.length("text") - cut), F.substr("next_text", F.lit(1), cut)).alias("_edited"))
+    rows = rows.withColumn("edited_fingerprint", fingerprint.fingerprint(F.col("_edited")))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", fingerprint.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprint.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
     return packing.with_crc(pieces).select(
@@ -70,7 +84,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
-        op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op8_secrets, op9_token_counts, op10_toxicity)}
+        op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op8_secrets, op9_token_counts, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
