@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, fingerprint, language, packing, quality, secrets, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, fingerprint, html_text, language, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 from hiremart.sources.scratch import Scratch
 
@@ -59,6 +59,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    model = html_text.train(html_text.sample_words(pages))
+    return html_text.extract(pages, model, ["page_id", "url"]).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     found = secrets.scan_history(documents(spark, sf_dir), scratch.path("ledger"), scratch)
@@ -84,7 +91,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
-        op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op8_secrets, op9_token_counts, op10_toxicity)}
+        op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op7_html_text, op8_secrets, op9_token_counts, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
