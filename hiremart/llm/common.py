@@ -12,8 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Rows whose texts are unpacked at once in a Python worker, and the bytes after which a batch is passed on.
-ROWS, BYTES = 256, 4 << 20
+#: Rows whose texts are unpacked at once in a Python worker.
+ROWS = 256
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +54,28 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterable[d
     return df.mapInArrow(run, schema)
 
 
-def staged(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read back."""
-    from hiremart.sources.scratch import Scratch
+def add_columns(df: DataFrame, keep: list[str], value: Column, fn: Callable[[list], list[tuple]],
+                added: str) -> DataFrame:
+    """``keep`` columns of ``df`` as they are, and the ``added`` ones: ``fn`` gives a tuple for each ``value``.
 
-    return Scratch(spark).stage(df)
+    Columns go by place inside, so no name of ``df`` can clash with one of this function's.
+    """
+    new = T._parse_datatype_string(added)
+    kept = [df.schema[c] for c in keep]
+    inner = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate([*kept, *new])])
+    arrow = to_arrow_schema(inner)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                found = list(zip(*fn(part.column(len(kept)).to_pylist())))
+                made = [pa.array(f, arrow.field(len(kept) + i).type) for i, f in enumerate(found)]
+                old = [part.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*old, *made], schema=arrow)
+
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], value.alias(f"c{len(kept)}"))
+    return rows.mapInArrow(run, inner).toDF(*keep, *[f.name for f in new])
 
 
 def bounded_share(df: DataFrame, keys: list[str], rows: int) -> DataFrame:

@@ -16,13 +16,11 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from hiremart.llm import boosting, dom, page_samples
-from hiremart.llm.common import map_rows
+from hiremart.llm.common import add_columns
 
 SAMPLES, WORD_PAGES, SEED = 800, 50, 17
 STATES = "cbm"
@@ -86,21 +84,17 @@ def sample_words(pages: DataFrame) -> list[str]:
     return [w for t in texts for w in t.split() if len(w) < 30 and not set(w) & set("<>&\"'=;")]
 
 
-def extract(pages: DataFrame, model: boosting.Boosted, keep: list[str]) -> DataFrame:
-    """``keep`` columns of each row with ``text``, its main text."""
+def extract(pages: DataFrame, model: boosting.Boosted, keep: list[str], name: str = "text") -> DataFrame:
+    """``keep`` columns of each row with its main text."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
-    def run(blocks: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for block in blocks:
-            raw, texts, start, size = block.pop("_html"), [], 0, 0
-            for at, page in enumerate(raw):  # pages of about 4 MB at a time
-                size += len(page)
-                if size > 4 << 20:
-                    texts += extract_all(shared.value, raw[start:at + 1])
-                    start, size = at + 1, 0
-            yield block | {"_text": texts + extract_all(shared.value, raw[start:])}
-
-    fields = [f for f in pages.schema if f.name in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    rows = pages.select(*[F.col(f"`{f.name}`") for f in fields], F.coalesce("html", F.lit("")).alias("_html"))
-    return map_rows(rows, run, f"{schema}, _text string").withColumnRenamed("_text", "text")
+    def run(raw: list[str]) -> list[tuple[str]]:
+        texts, start, size = [], 0, 0
+        for at, page in enumerate(raw):  # pages of about 4 MB at a time
+            size += len(page)
+            if size > 4 << 20:
+                texts += extract_all(shared.value, raw[start:at + 1])
+                start, size = at + 1, 0
+        return [(t,) for t in texts + extract_all(shared.value, raw[start:])]
+
+    return add_columns(pages, keep, F.coalesce("html", F.lit("")), run, f"{name} string")

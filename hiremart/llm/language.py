@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hiremart.llm.common import bounded_share, map_rows
+from hiremart.llm.common import add_columns, bounded_share
 
 BITS, WIDTH, GRAMS, SLICE = 15, 16, (2, 3, 4), 1 << 18
 TRAIN_ROWS, REJECT_SHARE = 4_000, 0.001
@@ -138,18 +138,13 @@ def train(docs: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Mode
     return fit(rows["text"], rows["lang"])
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (doc_id by default) of each row with lang_pred, score and accepted."""
-    shared, keep = docs.sparkSession.sparkContext.broadcast(model), keep or ["doc_id"]
+def predict(docs: DataFrame, model: Model, keep: list[str] | None = None,
+            names: tuple[str, str, str] = ("lang_pred", "score", "accepted")) -> DataFrame:
+    """``keep`` columns (doc_id by default) of each row with language, score and whether it is accepted."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(blocks: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        fitted: Model = shared.value
-        for block in blocks:
-            found = [fitted.predict(t) for t in block.pop("_read")]
-            yield block | {name: [f[i] for f in found] for i, name in enumerate(("_lang", "_score", "_accepted"))}
+    def run(texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        return [shared.value.predict(t) for t in texts]
 
-    fields = [f for f in docs.schema if f.name in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col("text").alias("_read"))
-    out = map_rows(rows, run, f"{schema}, _lang string, _score double, _accepted boolean")
-    return out.withColumnsRenamed({"_lang": "lang_pred", "_score": "score", "_accepted": "accepted"})
+    return add_columns(docs, keep or ["doc_id"], F.col("text"), run,
+                       "{} string, {} double, {} boolean".format(*names))

@@ -123,32 +123,54 @@ def read_ledger(docs: DataFrame, ledger: str) -> DataFrame:
     return spark.read.schema(schema).parquet(ledger)
 
 
-def scan_history(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
-                 id_column: str = "doc_id") -> DataFrame:
-    """(id, spans) of each row of ``docs`` (id, text), which may hold several versions of a path.
+def blob_of(column: str = "text") -> Column:
+    return F.unhex(F.sha2(text_of(column).cast("binary"), 256))
 
-    ``ledger`` is a folder on shared storage; what this run scans is appended to it.
-    """
-    def blob() -> Column:
-        return F.unhex(F.sha2(text_of().cast("binary"), 256))
 
+def scan_blobs(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
+               id_column: str = "doc_id") -> DataFrame:
+    """(blob, spans) of each blob in ``docs`` (id, text) under ``rules``.
+
+    ``docs`` may hold several versions of a path. ``ledger`` is a folder on shared storage; what this
+    run scans is appended to it.
+    """
     every = F.array(*[F.lit(r.key) for r in rules])
-    paths = scratch.stage(docs.select(F.col(id_column).alias("_id"), blob().alias("blob")))
     known = read_ledger(docs, ledger).groupBy("blob").agg(F.flatten(F.collect_set("scanned")).alias("_done"))
+    paths = docs.select(F.col(id_column).alias("_id"), blob_of().alias("blob"))
     pending = paths.groupBy("blob").agg(F.min("_id").alias("_first")).join(known, "blob", "left").select(
         F.col("blob").alias("_blob"), "_first",
         F.array_except(every, F.coalesce("_done", F.array().cast("array<string>"))).alias("pending"),
     ).where(F.size("pending") > 0)
-    texts = docs.select(F.col(id_column).alias("_id"), text_of().alias("text"), blob().alias("blob"))
+    texts = docs.select(F.col(id_column).alias("_id"), text_of().alias("text"), blob_of().alias("blob"))
     unseen = texts.join(pending, texts["_id"].eqNullSafe(pending["_first"]) & (texts["blob"] == pending["_blob"]))
     found = scan(unseen.select("blob", "text", "pending"), rules)
     found.select("blob", F.col("pending").alias("scanned"), "spans").dropDuplicates(["blob"]).write.mode(
         "append").parquet(ledger)
-    current = [r.key for r in rules]
-    results = read_ledger(docs, ledger).where(F.arrays_overlap("scanned", F.array(*map(F.lit, current))))
-    results = results.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("_all"))
-    return paths.join(results, "blob").select(
-        F.col("_id").alias(id_column), F.sort_array(F.array_distinct("_all")).alias("spans"))
+    kinds = {r.kind for r in rules}
+    results = read_ledger(docs, ledger).where(F.arrays_overlap("scanned", every))
+    # A raised version supersedes the findings of the older one: of a kind, those of the scans with its present version.
+    current = F.filter("spans", lambda s: s["kind"].isin(*kinds) & F.array_contains(
+        "scanned", F.element_at(F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.key)]), s["kind"])))
+    return results.select("blob", current.alias("spans")).groupBy("blob").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+
+
+def scan_history(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
+                 id_column: str = "doc_id") -> DataFrame:
+    """(id, spans) of each row of ``docs`` (id, text): the findings of its blob."""
+    paths = scratch.stage(docs.select(F.col(id_column).alias("_id"), blob_of().alias("blob")))
+    return paths.join(scan_blobs(docs, ledger, scratch, rules, id_column), "blob").select(
+        F.col("_id").alias(id_column), "spans")
+
+
+def redact(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
+           id_column: str = "doc_id") -> DataFrame:
+    """``docs`` with every finding in ``text`` replaced by its kind in brackets."""
+    found = scan_blobs(docs, ledger, scratch, rules, id_column).where(F.size("spans") > 0)
+    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    columns = [F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans"))).alias("text")
+               if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return docs.join(found, blob_of() == F.col("_blob"), "left").select(*columns)
 
 
 def written(spans: Column) -> Column:

@@ -12,14 +12,13 @@ of the bias. Without any label the score is EMPTY_SCORE. Repeated rows are score
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hiremart.llm.common import bounded_share, map_rows, text_of
+from hiremart.llm.common import add_columns, bounded_share, text_of
 
 BITS = 20
 TRAIN_ROWS, MAX_WEIGHTS, EMPTY_SCORE = 20_000, 200_000, 0.01
@@ -115,23 +114,15 @@ _WORDS = Words()
 _DENSE: dict[int, np.ndarray] = {}
 
 
-def score(docs: DataFrame, model: Model, id_column: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (the id by default) of each row with its score."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """``keep`` columns (doc_id by default) of each row with its score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     key = shared._jbroadcast.id()
-    keep = keep or [id_column]
 
-    def run(blocks: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+    def run(texts: list[str]) -> list[tuple[float]]:
         if key not in _DENSE:
             _DENSE.clear()
             _DENSE[key] = shared.value.dense()
-        dense, bias = _DENSE[key], shared.value.bias
-        for block in blocks:
-            texts = block.pop("_scored")
-            yield block | {"_score": [score_text(_WORDS, dense, bias, t) for t in texts]}
-
-    fields = [f for f in docs.schema if f.name in keep]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in fields], text_of().alias("_scored"))
-    return map_rows(rows, run, f"{schema}, _score double").withColumnRenamed("_score", "score")
+        return [(score_text(_WORDS, _DENSE[key], shared.value.bias, t),) for t in texts]
+
+    return add_columns(docs, keep or ["doc_id"], text_of(), run, f"{name} double")
