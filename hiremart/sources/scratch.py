@@ -39,6 +39,7 @@ class Scratch:
         self._spark = spark
         self._root = f"{checkpoint_root(spark)}/hiremart/{uuid.uuid4().hex}"
         self._count = 0
+        atexit.register(self._forget)
 
     def path(self, name: str) -> str:
         """A folder of this scratch space that the caller writes itself."""
@@ -54,6 +55,12 @@ class Scratch:
     def close(self) -> None:
         if self._count:
             files.delete(self._spark, self._root)
+            self._count = 0
+
+    def _forget(self) -> None:
+        """At the end of the driver, while its session still runs: nothing can read the tables any more."""
+        if self._spark.sparkContext._jsc is not None:
+            self.close()
 
     def __enter__(self) -> "Scratch":
         return self
