@@ -35,12 +35,28 @@ def url_path(url: Column | str) -> Column:
 
 
 def absolute_url(href: Column | str, base_url: str) -> Column:
-    """Resolve a link found on a page of ``base_url``."""
+    """Resolve a link found on a page of ``base_url``, a host without a path of its own.
+
+    ``?query`` and ``#fragment`` alone stay on the base; ``.`` and ``..`` parts of a path are resolved
+    and never leave the host; an empty link is the base itself.
+    """
     href, base = _c(href), base_url.rstrip("/")
     scheme = base.split("://", 1)[0]
+    rest = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    parts = F.split(F.regexp_replace(path, r"^/+", ""), "/")
+    # Each ".." drops the part kept before it.
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda out, p: F.when(
+        p == "..", F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))).when(
+        p == ".", out).otherwise(F.concat(out, F.array(p))))
+    last = F.element_at(parts, -1)
+    folder = F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    dotted = F.concat(F.lit(f"{base}/"), F.array_join(kept, "/"), folder, rest)
     return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.lit(f"{scheme}:"), href))
+        .when(path == "", F.concat(F.lit(base_url), rest))
+        .when(path.rlike(r"(^|/)[.][.]?(/|$)"), dotted)
         .when(href.startswith("/"), F.concat(F.lit(base), href))
         .otherwise(F.concat(F.lit(f"{base}/"), href))
     )

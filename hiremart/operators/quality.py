@@ -15,6 +15,36 @@ class QualityError(RuntimeError):
     """A gate or check found violations."""
 
 
+def row_checks(df: DataFrame, columns: list[str], expressions: dict[str, Column]) -> DataFrame:
+    """Missing values of ``columns`` and rows failing each labelled expression, counted in one scan."""
+    counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in columns}
+    counts |= {("expression_is_true", label): F.count_if(F.coalesce(~test, F.lit(True)))
+               for label, test in expressions.items()}
+    sums = df.agg(*[n.alias(f"_{i}") for i, n in enumerate(counts.values())])
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(column).alias("column_name"),
+                              F.col(f"_{i}").alias("n_violations")) for i, (check, column) in enumerate(counts)])
+    return sums.select(F.inline(rows))
+
+
+def foreign_keys(df: DataFrame, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows without a parent for each column; a missing key passes.
+
+    All keys of a row go through one scan and one shuffle as (column, key) pairs, pre-aggregated, and
+    meet the united parents in one anti-join.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_k")) for c in parents])
+    keys = df.select(F.inline(pairs)).where(F.col("_k").isNotNull()).groupBy("_c", "_k").agg(F.count("*").alias("_n"))
+    known = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(c).alias("_c"), F.col(field).cast("string").alias("_k"))
+        for c, (parent, field) in parents.items()])
+    orphans = keys.join(known, ["_c", "_k"], "left_anti").agg(*[
+        F.coalesce(F.sum(F.when(F.col("_c") == c, F.col("_n"))), F.lit(0)).cast("bigint").alias(f"_{i}")
+        for i, c in enumerate(parents)])
+    rows = F.array(*[F.struct(F.lit("relationships").alias("check"), F.lit(c).alias("column_name"),
+                              F.col(f"_{i}").alias("n_violations")) for i, c in enumerate(parents)])
+    return orphans.select(F.inline(rows))
+
+
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """Missing values of several columns, counted in one scan."""
     sums = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -47,7 +47,8 @@ raw AS (
     CASE jk % 8 WHEN 0 THEN 'Dưới 1 năm' WHEN 1 THEN '1 năm' WHEN 2 THEN '2 năm' WHEN 3 THEN '3 năm'
       WHEN 4 THEN '4 năm' WHEN 5 THEN 'Trên 5 năm' WHEN 6 THEN 'Không yêu cầu' END AS experience,
     CASE WHEN o_orderkey % 9 = 0 THEN 'Còn 5 ngày'
-         ELSE day(o_orderdate) || '/' || month(o_orderdate) || '/2024' END AS deadline,
+         ELSE day(o_orderdate) || '/' || month(o_orderdate) ||
+           CASE WHEN o_orderkey % 31 = 5 THEN '/2023' ELSE '/2024' END END AS deadline,
     CASE WHEN o_orderkey % 13 <> 0
          THEN p_type || '; ' || p_brand || ';;  Data   Analyst ;' || p_type END AS tags,
     'about  ' || p_name AS desc_mota,
@@ -202,9 +203,9 @@ def _initcap(column: str) -> str:
 
 
 def _dims(written: bool = False) -> str:
-    last = "max(CAST(snapshot_ts AS DATE))"
+    first, last = "min(CAST(snapshot_ts AS DATE))", "max(CAST(snapshot_ts AS DATE))"
     if not written:
-        last = f"greatest({last}, max(deadline_date))"
+        first, last = f"least({first}, min(deadline_date))", f"greatest({last}, max(deadline_date))"
     return f"""
 dim_source AS (SELECT 1 AS source_id, 'job_board' AS source_name),
 snap_dim_job AS (
@@ -230,7 +231,7 @@ dim_date AS (
     isodow(d) AS iso_day_of_week, isodow(d) IN (6, 7) AS is_weekend
   FROM (SELECT unnest(generate_series(CAST(low AS TIMESTAMP), CAST(high AS TIMESTAMP),
                                       INTERVAL 1 DAY)) AS d
-        FROM (SELECT min(CAST(snapshot_ts AS DATE)) AS low, {last} AS high FROM ev))),
+        FROM (SELECT {first} AS low, {last} AS high FROM ev))),
 dim_location AS (
   SELECT row_number() OVER (ORDER BY location_name_norm) AS location_id,
     location_name_norm AS location_code, {_initcap("location_name_norm")} AS location_name

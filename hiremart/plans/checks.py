@@ -1,6 +1,6 @@
 """The declared checks of every layer and how they run.
 
-``not_null`` columns of a table share one scan; every other check is one grouped pass.
+Row checks of a table share one scan, its foreign keys one shuffle; uniqueness is a grouped pass each.
 """
 
 from __future__ import annotations
@@ -78,15 +78,15 @@ def table_report(name: str, checks: Checks, tables) -> DataFrame:
     """Violation counts of one table; ``tables`` maps a name to its DataFrame."""
     df = tables(name)
     done = []
-    if checks.not_null:
-        done.append(Q.not_null(df, list(checks.not_null)))
+    if checks.not_null or checks.expression:
+        done.append(Q.row_checks(df, list(checks.not_null), {
+            e: F.expr(e) for e in [checks.expression] if e}))
     done += [Q.unique(df, c) for c in checks.unique]
     if checks.combination:
         done.append(Q.unique_combination(df, list(checks.combination)))
-    done += [Q.relationships(df, column, tables(parent), key)
-             for column, (parent, key) in checks.relationships.items()]
-    if checks.expression:
-        done.append(Q.expression_is_true(df, F.expr(checks.expression), checks.expression))
+    if checks.relationships:
+        done.append(Q.foreign_keys(df, {
+            column: (tables(parent), key) for column, (parent, key) in checks.relationships.items()}))
     return Q.union_checks(done).select(F.lit(name).alias("table_name"), "*")
 
 

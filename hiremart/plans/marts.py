@@ -10,7 +10,6 @@ from hiremart.config import Config
 from hiremart.functions.keys import date_id
 from hiremart.functions.text import initcap_words
 from hiremart.operators.dense_ids import dense_ids
-from hiremart.operators.joins import lookup
 from hiremart.operators.scd2 import open_versions
 from hiremart.plans import intermediate as I
 from hiremart.plans.staging import GRAIN, stg_postings
@@ -55,8 +54,8 @@ def dim_date(events: DataFrame, cfg: Config, today: Column | None = None,
              state: DataFrame | None = None) -> DataFrame:
     """Every day between the first and last crawl, or a year around ``today`` without any.
 
-    Where deadlines are parsed the calendar also reaches the last deadline, so that fact rows find
-    it. ``state`` adds the days of stored facts. Only one row of bounds reaches the expansion.
+    Where deadlines are parsed the calendar also reaches from the first to the last deadline, so that fact
+    rows find theirs. ``state`` adds the days of stored facts. Only one row of bounds reaches the expansion.
     """
     today = F.current_date() if today is None else today
     days = events.select(F.col("snapshot_ts").cast("date").alias("day"), "deadline_date")
@@ -65,10 +64,11 @@ def dim_date(events: DataFrame, cfg: Config, today: Column | None = None,
             F.col("snapshot_ts").cast("date").alias("day"),
             F.to_date(F.col("deadline_date_id").cast("string"), "yyyyMMdd").alias("deadline_date"))
         days = days.unionByName(stored)
-    last = F.max("day")
+    first, last = F.min("day"), F.max("day")
     if cfg.regex_mode == "intended":
+        first = F.when(first.isNotNull(), F.least(first, F.min("deadline_date")))
         last = F.when(last.isNotNull(), F.greatest(last, F.max("deadline_date")))
-    bounds = days.agg(F.min("day").alias("low"), last.alias("high"))
+    bounds = days.agg(first.alias("low"), last.alias("high"))
     calendar = bounds.select(F.explode(F.sequence(
         F.coalesce("low", F.date_sub(today, 365)), F.coalesce("high", F.date_add(today, 365))
     )).alias("date_day"))
@@ -108,8 +108,8 @@ def bridge_job_tags(tags: DataFrame, dim_tags: DataFrame, dim_jobs: DataFrame) -
     """
     pairs = tags.select("job_bk", F.col("tag_name_norm").alias("tag_name")).distinct()
     jobs = current(dim_jobs, "external_job_id", "job_sk", "job_bk")
-    tagged = lookup(pairs, dim_tags, "tag_name", ["job_bk"], "inner").select("job_bk", "tag_id")
-    return lookup(tagged, jobs, "job_bk", ["tag_id"], "inner").select("job_sk", "tag_id")
+    tagged = pairs.join(dim_tags, "tag_name").select("job_bk", "tag_id")
+    return tagged.join(jobs, "job_bk").select("job_sk", "tag_id")
 
 
 def fact_state(events: DataFrame, cfg: Config) -> DataFrame:
@@ -124,15 +124,17 @@ def fact_state(events: DataFrame, cfg: Config) -> DataFrame:
 
 def fct_job_snapshot(state: DataFrame, dim_jobs: DataFrame, dim_companies: DataFrame,
                      dim_locations: DataFrame) -> DataFrame:
-    """Resolve business keys to the current surrogate keys; unknown keys stay missing."""
+    """Resolve business keys to the current surrogate keys; unknown keys stay missing.
+
+    Plain joins: a dimension that turns out small is broadcast at run time. Postings without any company
+    share one key, most have no place, and a place may name a whole city: adaptive execution splits such
+    keys (null included) over tasks on the fact side, as each join is followed by another shuffle or the write.
+    """
     jobs = current(dim_jobs, "external_job_id", "job_sk", "job_bk")
     companies = current(dim_companies, "company_id", "company_sk", "company_bk")
     places = dim_locations.select("location_code", "location_id")
-    out = lookup(state, jobs, "job_bk", ["snapshot_ts"])
-    # Postings without any company share one key, a place may name a whole city: both run hot.
-    out = lookup(out, companies, "company_bk", GRAIN)
-    out = lookup(out, places, "location_code", GRAIN)
-    return out.select(*FACT_COLUMNS)
+    out = state.join(jobs, "job_bk", "left").join(companies, "company_bk", "left")
+    return out.join(places, "location_code", "left").select(*FACT_COLUMNS)
 
 
 class Mart:

@@ -14,7 +14,6 @@ from hiremart.functions import buckets
 from hiremart.functions.keys import date_id
 from hiremart.functions.text import initcap_words
 from hiremart.operators.aggregate import mean_millions, with_share
-from hiremart.operators.joins import lookup
 
 
 def latest_facts(fact: DataFrame) -> DataFrame:
@@ -63,7 +62,7 @@ def hotspots_by_location(fact: DataFrame, locations: DataFrame) -> DataFrame:
     cities = locations.select("location_id", buckets.city("location_name").alias("city"))
     placed = latest_facts(fact).where(F.col("location_id").isNotNull())
     pairs = placed.select("location_id", "job_sk").distinct()
-    counts = lookup(pairs, cities, "location_id", ["job_sk"], "inner").groupBy("city").agg(
+    counts = pairs.join(cities, "location_id").groupBy("city").agg(
         F.count_distinct("job_sk").alias("job_count"))
     return with_share(counts, "job_count", "market_share_percent").orderBy(
         F.desc("job_count"), "city")
@@ -98,7 +97,7 @@ def top_companies(fact: DataFrame, companies: DataFrame, limit: int = 15) -> Dat
 def _company_jobs(fact: DataFrame, companies: DataFrame) -> DataFrame:
     pairs = latest_facts(fact).where(F.col("company_sk").isNotNull()).select(
         "company_sk", "job_sk").distinct()
-    return lookup(pairs, companies, "company_sk", ["job_sk"], "inner")
+    return pairs.join(companies, "company_sk")
 
 
 def hiring_trend(fact: DataFrame, dates: DataFrame, as_of: Column, days: int = 30) -> DataFrame:

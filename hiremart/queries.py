@@ -145,10 +145,12 @@ def upsert_raw(spark, sf_dir):
     raw = postings(spark, sf_dir).withColumn("job_url", F.trim("job_url")).where(
         F.col("job_url") != "")
     target = spark.createDataFrame([], drops.RAW_SCHEMA)
+    scratch = Scratch(spark)
     for first, last in ((1, 1), (2, 4), (5, 5)):
         batch = latest_per_key(_day(raw, "crawled_at", first, last), ["job_url"], "crawled_at")
         merged = upsert(target, batch, "job_url", UPDATE_COLUMNS, "crawled_at", "created_at",
                         _ts(f"2024-01-0{last} 02:00:00"))
+        merged = scratch.stage(merged)
         target = merged.drop("_action")
     return merged.select(*POSTING_COLUMNS, "created_at", F.col("_action").alias("action"))
 
@@ -186,8 +188,9 @@ def _daily_history(spark, sf_dir, key: str, source, last: int) -> DataFrame:
     stg = scratch.stage(_stg(spark, sf_dir))
     history = open_versions(source(_day(stg, "snapshot_ts", 1)), key, "updated_at")
     for day in range(2, last + 1):
+        # Each run reads what the one before wrote, as in production: the plan does not grow.
         history = scd2_merge(
-            history, source(_day(stg, "snapshot_ts", day)), key, "updated_at",
+            scratch.stage(history), source(_day(stg, "snapshot_ts", day)), key, "updated_at",
             _ts(f"2024-01-0{day} 03:00:00"))
     return history
 

@@ -78,7 +78,8 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "deadline": unless(
             key % 9 == 0,
             text(F.dayofmonth("o_orderdate").cast("string"), "/",
-                 F.month("o_orderdate").cast("string"), "/2024"), "Còn 5 ngày"),
+                 F.month("o_orderdate").cast("string"),
+                 F.when(key % 31 == 5, "/2023").otherwise("/2024")), "Còn 5 ngày"),
         "tags": unless(
             key % 13 == 0,
             text(F.col("p_type"), "; ", F.col("p_brand"), ";;  Data   Analyst ;", F.col("p_type"))),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,9 @@ def test_absolute_links(spark):
     for href, expected in (("/x", "https://b.example/x"), ("x", "https://b.example/x"),
                            ("//c.example/x", "https://c.example/x"), ("http://d/x", "http://d/x")):
         assert one(spark, keys.absolute_url("a", "https://b.example/"), a=href) == expected
+    for href in ("?page=2", "#x", "../a", "./a", "/a/../b?c#d", "/a/./b/", "a/..", "..", "", "/x?u=../y", "a?b=//c"):
+        for base in ("https://b.example", "https://b.example/"):
+            assert one(spark, keys.absolute_url("a", base), a=href) == urljoin(base, href), href
 
 
 def test_buckets_keep_substring_quirks(spark):

@@ -5,13 +5,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import Window, functions as F
 
-from hiremart.operators import quality as Q
+from hiremart.operators import extract as X, quality as Q
 from hiremart.operators.aggregate import with_share
 from hiremart.operators.dedup import keep_last, purge_duplicates
 from hiremart.operators.dense_ids import dense_ids
-from hiremart.operators.joins import lookup
 from hiremart.operators.scd2 import open_versions, scd2_merge
 from hiremart.operators.upsert import affected_rows, upsert
+from hiremart.plans import marts as M
 from hiremart.sources.scratch import Scratch
 from hiremart.streaming import incremental as INC
 from tests.conftest import SF
@@ -47,18 +47,70 @@ def test_dense_ids_equal_the_global_window(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_lookup_is_the_plain_join(spark, how):
-    facts = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
-            (F.col("id") % 50).cast("string")).alias("k"))
-    dim = spark.range(40).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")) \
-        .unionByName(spark.sql("select 'hot' k, 99L v"))
-    plain = rows(facts.join(dim, "k", how), "id", "v")
-    assert rows(lookup(facts, dim, "k", ["id"], how), "id", "v") == plain
-    salted = lookup(facts, dim, "k", ["id"], how, rows=10)
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(salted, "id", "v") == plain
+def _fact_inputs(spark, scratch):
+    """A stored fact with a hot company and mostly missing places, and its dimensions."""
+    state = scratch.stage(spark.range(0, 60_000, 1, 8).selectExpr(
+        "cast(id % 5000 as string) as job_bk", "timestamp_ntz'2024-01-01 00:00:00' as snapshot_ts",
+        "20240101 as date_id", "if(id % 3 = 0, cast(id % 5000 as string), 'hot') as company_bk",
+        "if(id % 4 = 0, cast(id % 900 as string), null) as location_code", "20240101 as deadline_date_id",
+        "1.0D as salary_min", "2.0D as salary_max", "1.5D as salary_avg", "'VND' as salary_currency",
+        "md5(cast(id as string)) as snapshot_hash"))
+    versions = spark.range(5000).selectExpr(
+        "cast(id as string) as k", "id as sk", "cast(null as timestamp_ntz) as dbt_valid_to")
+    hot = spark.sql("select 'hot' k, 9999L sk, cast(null as timestamp_ntz) dbt_valid_to")
+    jobs = scratch.stage(versions.selectExpr("k as external_job_id", "sk as job_sk", "dbt_valid_to"))
+    companies = scratch.stage(versions.unionByName(hot).selectExpr(
+        "k as company_id", "sk as company_sk", "dbt_valid_to"))
+    places = scratch.stage(spark.range(900).selectExpr("cast(id as string) as location_code", "id as location_id"))
+    return state, jobs, companies, places
+
+
+def _jobs_run(spark, build):
+    """How many jobs ``build`` starts."""
+    sc, group = spark.sparkContext, "counted"
+    sc.setJobGroup(group, group)
+    try:
+        build()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_fact_joins_start_no_job_and_spread_hot_keys(spark):
+    tight = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "96k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    inputs, kept = _fact_inputs(spark, Scratch(spark)), {k: spark.conf.get(k, None) for k in tight}
+    built = []
+    assert _jobs_run(spark, lambda: built.append(M.fct_job_snapshot(*inputs))) == 0
+    plain = sorted(map(str, built[0].collect()))
+    try:
+        for key, value in tight.items():
+            spark.conf.set(key, value)
+        fact = M.fct_job_snapshot(*inputs)
+        assert sorted(map(str, fact.collect())) == plain and len(plain) == 60_000
+        assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_merging_records_starts_no_job_and_reads_company_pages_once(spark):
+    names = "title,salary,location,experience,deadline,tags,desc_mota,desc_yeucau,desc_quyenloi,working_addresses," \
+            "working_times,company_url_from_job,company_name_full,company_website,company_size,company_followers," \
+            "company_industry,company_address"
+    cards = spark.createDataFrame([("j", "t", "s", "a", "e", "c", "u")],
+                                  "job_url string,title string,salary string,address_list string,exp_list string,"
+                                  "company string,company_url string")
+    details = spark.createDataFrame([], "job_url string," + ",".join(f"{n} string" for n in names.split(",")))
+    pages = spark.createDataFrame([("u", "<h1>Big Co</h1>")], "url string, html string")
+    built = []
+    assert _jobs_run(spark, lambda: built.append(X.merge_records(
+        cards, details, X.extract_company(pages), F.lit("now")))) == 0
+    assert built[0].first()["company_name_full"] == "Big Co"
+    plan = built[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
 
 
 def test_share_divides_by_the_sum_of_counts(spark):
