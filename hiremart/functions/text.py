@@ -12,6 +12,19 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, use) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``use`` as often as needed.
+
+    ``nullif`` and the like name their argument twice; inside a lambda Spark does not share it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def filled(text: Column) -> Column:
+    """``text``, missing if it is empty; evaluated once."""
+    return let(text, lambda t: F.when(t != "", t))
+
+
 def blank_to_null(col: Column | str) -> Column:
     """Trim spaces; an empty rest is missing."""
     return F.nullif(F.trim(_c(col)), F.lit(""))
@@ -24,7 +37,7 @@ def squash(col: Column | str) -> Column:
 
 def first_filled(*cols: Column | str) -> Column:
     """First value that is neither missing nor blank, returned untrimmed."""
-    return F.coalesce(*[F.when(squash(c) != "", _c(c)) for c in cols])
+    return F.coalesce(*[let(_c(c), lambda text: F.when(squash(text) != "", text)) for c in cols])
 
 
 def contains_any(col: Column | str, needles) -> Column:
@@ -45,13 +58,13 @@ def initcap_words(col: Column | str) -> Column:
 def clean_title(col: Column | str) -> Column:
     """Collapse whitespace and drop the promotion badges."""
     bare = F.replace(F.replace(squash(col), F.lit("HOT"), F.lit("")), F.lit("✨"), F.lit(""))
-    return F.nullif(F.trim(bare), F.lit(""))
+    return filled(F.trim(bare))
 
 
 def extract_deadline(col: Column | str) -> Column:
     """First d/m/yyyy inside the text, else the text itself; blank is missing."""
-    found = F.regexp_extract(_c(col), r"(\d{1,2}/\d{1,2}/\d{4})", 1)
-    return F.when(_c(col) != "", F.when(found != "", found).otherwise(_c(col)))
+    return let(_c(col), lambda text: F.when(text != "", F.coalesce(filled(
+        F.regexp_extract(text, r"(\d{1,2}/\d{1,2}/\d{4})", 1)), text)))
 
 
 def drop_prefix(text: Column, prefix: Column, joint: str) -> Column:

@@ -18,18 +18,24 @@ def upsert(
 
     An existing row changes if any of ``columns`` differs (missing equals missing) or the batch was
     seen later. It then takes every column from the batch, whichever was seen last; ``seen_at``
-    never moves back and ``created_at`` stays. One shuffle of each side, no hot keys: both sides
-    hold a key at most once.
+    never moves back and ``created_at`` stays. A column that one side lacks is missing there, so an older
+    table takes up new columns. One shuffle of each side, no hot keys: both sides hold a key at most once.
     """
     old = target.select(F.col(key).alias("_k"), F.struct(*target.columns).alias("_old"))
     new = batch.select(F.col(key).alias("_k"), F.struct(*batch.columns).alias("_new"))
     both = old.join(new, "_k", "full_outer")
 
+    def side(df: DataFrame, other: DataFrame, struct: str, name: str) -> Column:
+        if name in df.columns:
+            return F.col(f"{struct}.{name}")
+        kind = other.schema[name].dataType if name in other.columns else "string"
+        return F.lit(None).cast(kind)
+
     def o(name: str) -> Column:
-        return F.col(f"_old.{name}")
+        return side(target, batch, "_old", name)
 
     def n(name: str) -> Column:
-        return F.col(f"_new.{name}")
+        return side(batch, target, "_new", name)
 
     differs = reduce(or_, [~o(c).eqNullSafe(n(c)) for c in columns])
     newer = F.coalesce(n(seen_at) > o(seen_at), F.lit(False))

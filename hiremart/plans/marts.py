@@ -51,11 +51,12 @@ def dim_company(history: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def dim_date(events: DataFrame, cfg: Config, today: Column | None = None,
-             state: DataFrame | None = None) -> DataFrame:
+             state: DataFrame | None = None, calendar: DataFrame | None = None) -> DataFrame:
     """Every day between the first and last crawl, or a year around ``today`` without any.
 
     Where deadlines are parsed the calendar also reaches from the first to the last deadline, so that fact
-    rows find theirs. ``state`` adds the days of stored facts. Only one row of bounds reaches the expansion.
+    rows find theirs. ``state`` adds the days of stored facts, ``calendar`` those of
+    an earlier dimension. Only one row of bounds reaches the expansion.
     """
     today = F.current_date() if today is None else today
     days = events.select(F.col("snapshot_ts").cast("date").alias("day"), "deadline_date")
@@ -64,6 +65,9 @@ def dim_date(events: DataFrame, cfg: Config, today: Column | None = None,
             F.col("snapshot_ts").cast("date").alias("day"),
             F.to_date(F.col("deadline_date_id").cast("string"), "yyyyMMdd").alias("deadline_date"))
         days = days.unionByName(stored)
+    if calendar is not None:
+        days = days.unionByName(calendar.select(
+            F.col("date_day").alias("day"), F.lit(None).cast("date").alias("deadline_date")))
     first, last = F.min("day"), F.max("day")
     if cfg.regex_mode == "intended":
         first = F.when(first.isNotNull(), F.least(first, F.min("deadline_date")))
@@ -81,12 +85,15 @@ def dim_date(events: DataFrame, cfg: Config, today: Column | None = None,
     )
 
 
-def dim_location(locations: DataFrame, scratch: Scratch, state: DataFrame | None = None
-                 ) -> DataFrame:
+def dim_location(locations: DataFrame, scratch: Scratch, state: DataFrame | None = None,
+                 known: DataFrame | None = None) -> DataFrame:
+    """Places of the events, of stored facts and of an earlier dimension."""
     names = locations.select(F.col("location_name_norm").alias("location_code"))
     if state is not None:
         names = names.unionByName(
             state.where(F.col("location_code").isNotNull()).select("location_code"))
+    if known is not None:
+        names = names.unionByName(known.select("location_code"))
     named = names.distinct().withColumn("location_name", initcap_words("location_code"))
     return dense_ids(named, ["location_code"], "location_id", "int", scratch)
 

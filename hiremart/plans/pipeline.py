@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from hiremart.config import POSTING_COLUMNS, REQUIRED_COLUMNS, UPDATE_COLUMNS, Config
+from hiremart.operators.dedup import purge_duplicates
 from hiremart.operators.quality import QualityError, require_clean, require_raw
 from hiremart.operators.scd2 import merge_open, open_versions
 from hiremart.operators.upsert import KEEP, upsert
@@ -37,6 +39,9 @@ def load(spark: SparkSession, store: Store, drop: DataFrame, now: str) -> int:
     """Upsert a drop; the counts come out of the write itself."""
     require_crawl_times(drop)
     target = store.read(RAW) if store.exists(RAW) else spark.createDataFrame([], RAW_SCHEMA)
+    # An older table may lack the key's uniqueness: its newest row counts. The batch has one row per key.
+    target = purge_duplicates(target, "job_url", [c for c in ("crawled_at", "created_at") if c in target.columns],
+                              "crawled_at")
     merged = upsert(target, prepare_batch(drop), "job_url", UPDATE_COLUMNS, "crawled_at",
                     "created_at", _ts(now))
     seen = Observation("upsert")
@@ -81,17 +86,37 @@ def _snapshot(store: Store, scratch: Scratch, name: str, source: DataFrame, key:
     return store.replace(name, {"open": merged.where(is_open), stamp: closed})
 
 
-def _fact_state(store: Store, state: DataFrame) -> tuple[DataFrame, int]:
-    """Add the events at or after the high-water mark; returns the stored state and late rows."""
+def _days(store: Store) -> list[str]:
+    return [p for p in store.parts(STATE) if p.isdigit()]
+
+
+def _fact_state(store: Store, state: DataFrame) -> tuple[list[str], int]:
+    """Add the events at or after the high-water mark; returns the days written and the late rows."""
     if not store.exists(STATE):
-        return store.replace_by(STATE, state, "date_id"), 0
-    newest = [p for p in store.parts(STATE) if p.isdigit()][-1:]
+        store.replace_by(STATE, state, "date_id")
+        return _days(store), 0
+    before = _days(store)
+    newest = before[-1:]
     mark = INC.high_water_mark(store.read(STATE, newest), "snapshot_ts")
-    late = INC.late_rows(state, store.read(STATE), GRAIN, "snapshot_ts", mark).count()
+    # A late row can only be stored among the rows of its own day: other days are not opened.
+    old = state.where(F.col("snapshot_ts") < _ts(mark)).select(F.col("date_id").cast("string")).distinct()
+    touched = {r["date_id"] for r in old.collect()}  # days, not rows
+    known = store.read(STATE, [p for p in before if p in touched])
+    late = INC.late_rows(state, known, GRAIN, "snapshot_ts", mark).count()
     batch = INC.on_or_after(state, "snapshot_ts", mark)
     # Only the newest stored day can hold rows at the mark: older days are neither read nor written.
     merged = INC.delete_insert(store.read(STATE, newest), batch, GRAIN)
-    return store.replace_by(STATE, merged, "date_id"), late
+    store.replace_by(STATE, merged, "date_id")
+    return [p for p in _days(store) if p >= (newest or [""])[0]], late
+
+
+def serving_fact(store: Store, days: list[str] | None = None) -> DataFrame:
+    """The fact with today's surrogate keys, resolved when read; ``days`` opens only these parts.
+
+    Surrogate keys are renumbered by every build, so a stored copy would have to be rewritten daily.
+    """
+    return M.fct_job_snapshot(store.read(STATE, days), *(
+        store.read(name) for name in ("dim_job", "dim_company", "dim_location")))
 
 
 def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict: bool = True
@@ -124,30 +149,33 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
             store, scratch, "snap_dim_company", companies, "company_bk", as_of)
         _check(outcome, K.SNAPSHOTS, tables.__getitem__, strict)
 
-        stored, outcome.late_rows = _fact_state(store, M.fact_state(events, cfg))
+        days, outcome.late_rows = _fact_state(store, M.fact_state(events, cfg))
+        # Older facts' days and places are in the dimensions of the run before.
+        fresh = store.read(STATE, days)
+        calendar, codes = (scratch.stage(store.read(name)) if store.exists(name) else None
+                           for name in ("dim_date", "dim_location"))
         built = {
             "dim_source": lambda: M.dim_source(spark, cfg),
-            "dim_date": lambda: M.dim_date(events, cfg, _ts(as_of).cast("date"), stored),
+            "dim_date": lambda: M.dim_date(events, cfg, _ts(as_of).cast("date"), fresh, calendar),
             "dim_job": lambda: M.dim_job(tables["snap_dim_job"], scratch),
             "dim_company": lambda: M.dim_company(tables["snap_dim_company"], scratch),
-            "dim_location": lambda: M.dim_location(places, scratch, stored),
+            "dim_location": lambda: M.dim_location(places, scratch, fresh, codes),
             "dim_tag": lambda: M.dim_tag(tags, scratch),
             "bridge_job_tags": lambda: M.bridge_job_tags(
                 tags, tables["dim_tag"], tables["dim_job"]),
         }
         for name, build in built.items():
             tables[name] = store.overwrite(name, build())
-        tables[FACT] = store.replace_by(FACT, M.fct_job_snapshot(
-            stored, tables["dim_job"], tables["dim_company"], tables["dim_location"]),
-            "date_id", keep=False)
+        tables[FACT] = scratch.stage(serving_fact(store, days))
         _check(outcome, K.MARTS, tables.__getitem__, strict)
     return outcome
 
 
 def reports(store: Store, cfg: Config, as_of: str) -> dict[str, DataFrame]:
-    """The six reports over the stored marts; those on the current market read one day's part."""
-    newest = [p for p in store.parts(FACT) if p.isdigit()][-1:]
-    today = store.read(FACT, newest)
+    """The six reports over the stored marts; each opens only the days it is about."""
+    days = _days(store)
+    today = serving_fact(store, days[-1:])
+    start = (datetime.fromisoformat(as_of) - timedelta(days=cfg.trend_days)).strftime("%Y%m%d")
     companies, jobs = store.read("dim_company"), store.read("dim_job")
     return {
         "top_keywords": R.top_keywords(today, store.read("bridge_job_tags"), store.read("dim_tag")),
@@ -156,11 +184,11 @@ def reports(store: Store, cfg: Config, as_of: str) -> dict[str, DataFrame]:
         "company_size_distribution": R.company_size_distribution(today, companies),
         "top_companies": R.top_companies(today, companies),
         "hiring_trend": R.hiring_trend(
-            store.read(FACT), store.read("dim_date"), _ts(as_of).cast("date"), cfg.trend_days),
+            serving_fact(store, [d for d in days if d >= start]), store.read("dim_date"), _ts(as_of).cast("date"), cfg.trend_days),
     }
 
 
 def publish(spark: SparkSession, store: Store) -> None:
     """Register every mart under its own name for SQL clients of this session."""
     for name in K.MARTS:
-        store.read(name).createOrReplaceTempView(name)
+        (serving_fact(store) if name == FACT else store.read(name)).createOrReplaceTempView(name)

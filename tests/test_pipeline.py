@@ -56,7 +56,7 @@ def test_three_daily_runs(spark, place):
     affected, outcome = run_day(spark, place, store, 2, [posting(1, 2), posting(4, 2, **other)])
     assert (affected, outcome.late_rows, outcome.salary_failures) == (2, 0, 1)
     assert store.read("raw").count() == 4
-    fact = store.read("fct_job_snapshot")
+    fact = P.serving_fact(store)
     assert fact.count() == 5 and fact.where("job_sk is null").count() == 0
     # ids are renumbered on every run, and old facts follow them
     pairs = fact.join(store.read("dim_job"), "job_sk").where("external_job_id <> job_bk")
@@ -71,7 +71,7 @@ def test_three_daily_runs(spark, place):
     before = sorted(map(tuple, fact.collect()), key=str)
     affected, _ = run_day(spark, place, store, 2, [posting(1, 2), posting(4, 2, **other)])
     assert affected == 0
-    assert sorted(map(tuple, store.read("fct_job_snapshot").collect()), key=str) == before
+    assert sorted(map(tuple, P.serving_fact(store).collect()), key=str) == before
 
     # the third day only rewrites from the second on; a row older than that is counted, not stored
     _, outcome = run_day(
