@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, fingerprint, html_text, language, packing, quality, secrets, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, fingerprint, html_text, language, oracles, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 from hiremart.sources.scratch import Scratch
 
@@ -95,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
