@@ -619,6 +619,26 @@ def oracle_sql() -> dict[str, str]:
                 f"nullif({_FLAT.format(_unescape(c))}, '') AS {c}" for c in ("title", "h1", "ads"))},
               {_unescape("links")} AS links FROM parts""",
         "extract_listing": _raw(f", {_CARD} SELECT * FROM cards"),
+        "load_batch": _raw(f"""
+            SELECT trim(job_url, ' ') AS job_url, {", ".join(
+                f"nullif({c}, '') AS {c}" for c in POSTING_COLUMNS if c not in ("job_url", "crawled_at"))},
+              {_ts("crawled_at")}
+            FROM (SELECT *, row_number() OVER (PARTITION BY trim(job_url, ' ') ORDER BY crawled_at DESC) AS rn
+                  FROM raw WHERE trim(job_url, ' ') <> '') WHERE rn = 1"""),
+        "newest_drop": _raw(
+            "SELECT strftime(crawled_at, '%Y-%m-%d') AS day, count(*) AS n_rows FROM raw "
+            "WHERE day(crawled_at) IN (3, 4) GROUP BY 1"),
+        "load_gates": _raw("""
+            SELECT 'salary,tags' AS missing_columns, count(*) AS row_count,
+              count(*) FILTER (trim(job_url, ' ') = '') AS blank_keys,
+              count(*) FILTER (trim(job_url, ' ') <> '')
+                - count(DISTINCT trim(job_url, ' ')) FILTER (trim(job_url, ' ') <> '') AS duplicate_keys,
+              count(*) FILTER (job_url LIKE '%7.html%') AS bad_crawl_times FROM raw"""),
+        "schema_sync": _model("""
+            SELECT date_id, CASE WHEN day(snapshot_ts) < 4 THEN 'stale' ELSE salary_currency END
+                AS salary_currency, count(*) AS n_rows,
+              count(CASE WHEN day(snapshot_ts) >= 4 THEN salary_avg END) AS n_averages
+            FROM ev GROUP BY ALL"""),
         "listing_dedup": _raw(f"""
             , {_CARD}
             SELECT page_id, job_url, title, salary FROM (

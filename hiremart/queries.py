@@ -161,13 +161,56 @@ def purge_duplicate_rows(spark, sf_dir):
     return purge_duplicates(raw, "job_url", ["crawled_at"], "crawled_at")
 
 
+@query
+def load_batch(spark, sf_dir):
+    """Drops of two days; the one asked for by run date, prepared for loading: last row per link."""
+    folder = Scratch(spark).path("drops")
+    raw = postings(spark, sf_dir)
+    drops.write_drop(_day(raw, "crawled_at", 1), folder, CFG, "20240101")
+    drops.write_drop(raw.orderBy("crawled_at"), folder, CFG, "20240105")  # later crawls further down
+    drops.write_drop(_day(raw, "crawled_at", 2), folder, CFG, "20240109")
+    return drops.prepare_batch(drops.read_drop(spark, drops.find_drop(spark, folder, CFG, "20240105")))
+
+
+@query
+def newest_drop(spark, sf_dir):
+    """Rows per crawl day of the drop picked without a run date: today's, else the newest by name."""
+    folder = Scratch(spark).path("drops")
+    raw = postings(spark, sf_dir)
+    for day in (2, 4, 3):
+        drops.write_drop(_day(raw, "crawled_at", day), folder, CFG, f"2024010{day}")
+    picked = [drops.read_drop(spark, drops.find_drop(spark, folder, CFG, today=today))
+              for today in ("20240103", "20240109")]
+    counts = [d.groupBy(F.substring("crawled_at", 1, 10).alias("day")).agg(F.count("*").alias("n_rows"))
+              for d in picked]
+    return counts[0].unionByName(counts[1])
+
+
+@query
+def load_gates(spark, sf_dir):
+    """Both gates of a drop that lacks two columns and some crawl times."""
+    damaged = F.when(~F.col("job_url").contains("7.html"), F.col("crawled_at").cast("string")).otherwise("soon")
+    drop = postings(spark, sf_dir).drop("salary", "tags").withColumn("crawled_at", damaged)
+    gate = Q.raw_gate(drop, [*REQUIRED_COLUMNS, "salary", "tags"], "job_url")
+    return gate.crossJoin(drops.bad_crawl_times(drop).withColumnRenamed("n", "bad_crawl_times"))  # one row each
+
+
+@query
+def schema_sync(spark, sf_dir):
+    """An incremental run whose stored state lacks a column and has one that is gone, with stale rows."""
+    state = M.fact_state(_events(spark, sf_dir), CFG)
+    stored = _day(state, "snapshot_ts", 1, 4).drop("salary_avg").withColumn("old_column", F.lit(1)).withColumn(
+        "salary_currency", F.lit("stale"))
+    mark = INC.high_water_mark(stored, "snapshot_ts")
+    merged = INC.delete_insert(stored, INC.on_or_after(state, "snapshot_ts", mark), GRAIN)
+    return merged.groupBy("date_id", "salary_currency").agg(
+        F.count("*").alias("n_rows"), F.count("salary_avg").alias("n_averages"))
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """Write the postings as a drop, read it back, and type it for loading."""
-    from hiremart.sources.scratch import checkpoint_root
-    import uuid
-
-    folder = f"{checkpoint_root(spark)}/drops-{uuid.uuid4().hex}"
+    folder = Scratch(spark).path("drops")
     path = drops.write_drop(postings(spark, sf_dir), folder, CFG, "20240105")
     back = drops.read_drop(spark, path)
     return back.where(F.trim("job_url") != "").select(

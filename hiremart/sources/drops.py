@@ -91,11 +91,16 @@ def prepare_batch(drop: DataFrame) -> DataFrame:
     return keep_last(typed, "job_url", POSITION).select(*POSTING_COLUMNS)
 
 
-def require_crawl_times(drop: DataFrame) -> None:
-    """Raise if any row with a link has no usable crawl time."""
+def bad_crawl_times(drop: DataFrame) -> DataFrame:
+    """One row: how many rows with a link have no usable crawl time."""
     crawled = (F.col("crawled_at").try_cast("timestamp_ntz") if "crawled_at" in drop.columns
                else F.lit(None).cast("timestamp_ntz"))
     link = F.regexp_replace("job_url", r"(?U)^\s+|\s+$", "")
-    bad = drop.where(link != "").agg(F.count_if(crawled.isNull()).alias("n")).first()["n"]
+    return drop.where(link != "").agg(F.count_if(crawled.isNull()).alias("n"))
+
+
+def require_crawl_times(drop: DataFrame) -> None:
+    """Raise if any row with a link has no usable crawl time."""
+    bad = bad_crawl_times(drop).first()["n"]
     if bad:
         raise QualityError(f"{bad} rows with missing or invalid crawled_at")
