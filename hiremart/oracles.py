@@ -412,6 +412,30 @@ def _or(column: str, fallback: str) -> str:
     return f"coalesce(nullif({_FLAT.format(column)}, ''), {fallback})"
 
 
+_DETAIL = f"""
+            SELECT trim(job_url, ' ') || '#' || strftime(crawled_at, '%Y-%m-%d %H:%M:%S') AS job_url,
+              {_FLAT.format("title")} AS title, {_or("salary", "'Mức lương'")} AS salary,
+              {_or("location", "'Địa điểm :'")} AS location,
+              {_or("experience", "'Kinh nghiệm'")} AS experience,
+              CASE WHEN deadline LIKE '%/%' THEN deadline ELSE 'Hạn nộp hồ sơ: ' || deadline END
+                AS deadline,
+              (SELECT string_agg(item, '; ' ORDER BY first_at) FROM (
+                 SELECT item, min(i) AS first_at FROM (
+                   SELECT {_FLAT.format("x")} AS item, i FROM (
+                     SELECT unnest(string_split(tags, ';')) AS x,
+                       generate_subscripts(string_split(tags, ';'), 1) AS i))
+                 WHERE item <> '' GROUP BY item)) AS tags,
+              company_url AS company_url_from_job, company_name_full,
+              CAST(NULL AS VARCHAR) AS company_website, company_size,
+              nullif(company_followers, '') AS company_followers,
+              CAST(NULL AS VARCHAR) AS company_industry, CAST(NULL AS VARCHAR) AS company_address,
+              {_or("desc_mota", "'Mô tả công việc'")} AS desc_mota,
+              {_or("desc_yeucau", "'Yêu cầu ứng viên'")} AS desc_yeucau,
+              CAST(NULL AS VARCHAR) AS desc_quyenloi,
+              {_or("working_addresses", "'Địa điểm làm việc'")} AS working_addresses, working_times
+            FROM raw WHERE trim(job_url, ' ') <> ''"""
+
+
 _ORDERS_LATEST = """SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate AS ts FROM (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn
     FROM orders{0}) WHERE rn = 1"""
@@ -645,28 +669,32 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, row_number() OVER (
                 PARTITION BY regexp_replace(job_url, '^[A-Za-z]+://[^/]*', '') ORDER BY page_id) AS rn
               FROM cards) WHERE rn = 1"""),
-        "extract_detail": _raw(f"""
-            SELECT trim(job_url, ' ') || '#' || strftime(crawled_at, '%Y-%m-%d %H:%M:%S') AS job_url,
-              {_FLAT.format("title")} AS title, {_or("salary", "'Mức lương'")} AS salary,
-              {_or("location", "'Địa điểm :'")} AS location,
-              {_or("experience", "'Kinh nghiệm'")} AS experience,
-              CASE WHEN deadline LIKE '%/%' THEN deadline ELSE 'Hạn nộp hồ sơ: ' || deadline END
-                AS deadline,
-              (SELECT string_agg(item, '; ' ORDER BY first_at) FROM (
-                 SELECT item, min(i) AS first_at FROM (
-                   SELECT {_FLAT.format("x")} AS item, i FROM (
-                     SELECT unnest(string_split(tags, ';')) AS x,
-                       generate_subscripts(string_split(tags, ';'), 1) AS i))
-                 WHERE item <> '' GROUP BY item)) AS tags,
-              company_url AS company_url_from_job, company_name_full,
-              CAST(NULL AS VARCHAR) AS company_website, company_size,
-              nullif(company_followers, '') AS company_followers,
-              CAST(NULL AS VARCHAR) AS company_industry, CAST(NULL AS VARCHAR) AS company_address,
-              {_or("desc_mota", "'Mô tả công việc'")} AS desc_mota,
-              {_or("desc_yeucau", "'Yêu cầu ứng viên'")} AS desc_yeucau,
-              CAST(NULL AS VARCHAR) AS desc_quyenloi,
-              {_or("working_addresses", "'Địa điểm làm việc'")} AS working_addresses, working_times
-            FROM raw WHERE trim(job_url, ' ') <> ''"""),
+        "extract_detail": _raw(_DETAIL),
+        "extract_all_days": _raw(f"""
+            , {_CARD}, {_COMPANY_PAGE}, detail AS ({_DETAIL}),
+            d AS (SELECT * REPLACE (split_part(job_url, '#', 1) AS job_url) FROM detail
+                  QUALIFY row_number() OVER (PARTITION BY split_part(job_url, '#', 1)
+                                             ORDER BY split_part(job_url, '#', 2) DESC) = 1),
+            b AS (SELECT * FROM cards QUALIFY row_number() OVER (
+                    PARTITION BY regexp_replace(job_url, '^[A-Za-z]+://[^/]*', '') ORDER BY page_id) = 1),
+            j AS (SELECT b.* EXCLUDE (company_url), coalesce({_filled("b.company_url")},
+                    {_filled("d.company_url_from_job")}) AS link FROM b LEFT JOIN d USING (job_url))
+            SELECT coalesce({_filled("d.title")}, {_filled("j.title")}, '') AS title, j.job_url,
+              coalesce(j.link, '') AS company_url, coalesce({_filled("d.salary")}, {_filled("j.salary")}, '') AS salary,
+              coalesce({_filled("d.location")}, {_filled("j.address_list")}, '') AS location,
+              coalesce({_filled("d.experience")}, {_filled("j.exp_list")}, '') AS experience,
+              {", ".join(f"coalesce(d.{c}, '') AS {c}" for c in (
+                  "deadline", "tags", "desc_mota", "desc_yeucau", "desc_quyenloi", "working_addresses",
+                  "working_times"))},
+              coalesce({_filled("d.company_name_full")}, {_filled("c.company_name_full")}, {_filled("j.company")}, '')
+                AS company_name_full,
+              coalesce({_filled("d.company_website")}, {_filled("c.company_website")}, {_filled("j.link")}, '')
+                AS company_website,
+              {", ".join(f"coalesce({_filled(f'c.{c}')}, {_filled(f'd.{c}')}, '') AS {c}" for c in (
+                  "company_size", "company_followers", "company_industry", "company_address"))},
+              coalesce({_filled("c.company_description")}, '') AS company_description,
+              '2024-01-06 00:00:00' AS crawled_at
+            FROM j LEFT JOIN d ON d.job_url = j.job_url LEFT JOIN company_page c ON c.company_url = j.link"""),
         "extract_company": f"WITH {_COMPANY_PAGE} SELECT * FROM company_page",
         "merge_record": _raw(f"""
             , {_COMPANY_PAGE},
