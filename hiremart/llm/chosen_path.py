@@ -2,12 +2,14 @@
 
 A document is the set of its word shingles; it is embedded as COORDINATES minwise tokens. Each of
 TREES independent trees branches all sets by the minwise token at one coordinate. A node of more
-than ``leaf`` sets is branched again, by BRANCHES further coordinates a level, so that a pair of
-similarity s stays together in a tree with probability s at the root and 1 - (1 - s)**BRANCHES a
-level below; the trees together miss a pair at the threshold of 0.8 with probability
-(1 - 0.8 * 0.96**depth)**10: 1e-7 at depth 0, 2e-5 at depth 4. Small nodes are compared exhaustively: pairs
-whose signatures agree in less than ESTIMATE of their coordinates are passed over (at similarity 0.8
-that has probability 1e-8), the others are confirmed on their full shingle sets.
+than ``leaf`` sets is branched again, by one further coordinate, or by two for every fourth node: 1.25
+children on average for a set that keeps its company with probability 0.8, so that the rows of a tree
+do not multiply. A pair of similarity s is together in a root's node with probability s, so all
+TREES miss a pair at the threshold with probability 0.2**10 = 1e-7; each level of branching lowers
+a tree's share by a factor of 0.84 (ten trees then miss 2e-5, 2e-4, 1.6e-3 on one to three levels, which
+only sets in nodes of more than ``leaf`` different sets meet). Small nodes are compared exhaustively:
+pairs whose signatures agree in less than ESTIMATE of their coordinates are passed over (at similarity
+0.8 that has probability 1e-8), the others are confirmed on their full shingle sets.
 
 Equal sets are one vertex from the start, a pair is compared in the first root leaf that it shares,
 and a node gives a spanning forest of its links only, so copies are never expanded into pairs. A
@@ -30,8 +32,10 @@ from pyspark.sql import DataFrame, functions as F
 from hiremart.llm.common import map_rows, text_of
 from hiremart.sources.scratch import Scratch
 
-COORDINATES, TREES, BRANCHES, LEAF, ESTIMATE = 64, 10, 2, 1_000, 0.5
-_LEVELS = (COORDINATES - TREES) // BRANCHES
+COORDINATES, TREES, LEAF, ESTIMATE = 64, 10, 4_096, 0.5
+#: Most bits for the shared hashes of a node; beyond that its sets are compared as sorted arrays.
+_BITS = 1 << 26
+_LEVELS = (COORDINATES - TREES) // 2
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -159,42 +163,65 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.select(["_tree", "_node", "_v"]).filter(pa.array(chosen)).combine_chunks().to_batches()
 
 
+class _Common:
+    """Sizes of the intersections of the sets of a node."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sets, self.bits = sets, None
+        if len(sets) > 8:
+            # Only hashes that two sets share can be common: one bit for each of them.
+            values, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            shared = np.cumsum(times > 1) - 1
+            width = int(shared[-1]) + 1
+            if len(sets) * width <= _BITS:
+                row, many = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), (times > 1)[place]
+                dense = np.zeros((len(sets), max(64, -(-width // 64) * 64)), bool)
+                dense[row[many], shared[place[many]]] = True
+                self.bits = np.packbits(dense, axis=1).view(np.uint64)
+
+    def with_each(self, i: int, js: np.ndarray) -> np.ndarray:
+        if self.bits is not None:
+            return np.bitwise_count(self.bits[i] & self.bits[js]).sum(1, dtype=np.int64)
+        own, out = self.sets[i], np.zeros(len(js), np.int64)
+        for n, j in enumerate(js.tolist()):
+            other = self.sets[j]
+            out[n] = np.count_nonzero(own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other)
+        return out
+
+
 def _links(percent: int):
     """Spanning forests of the confirmed links of each node."""
 
-    def confirmed(sets: list[np.ndarray], i: int, js: np.ndarray) -> np.ndarray:
-        own, keep = sets[i], []
-        for at in range(0, len(js), 256):
-            part = [sets[j] for j in js[at:at + 256]]
-            sizes = np.array([len(s) for s in part])
-            both = np.concatenate(part)
-            hit = own[np.minimum(np.searchsorted(own, both), len(own) - 1)] == both
-            common = np.add.reduceat(hit, np.r_[0, np.cumsum(sizes)[:-1]], dtype=np.int64)
-            keep.append(100 * common >= percent * (len(own) + sizes - common))
-        return js[np.concatenate(keep)] if keep else js
+    def forest(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+        size, part, common = np.array([len(s) for s in sets]), np.arange(len(sets)), _Common(sets)
+        order = np.argsort(i, kind="stable")
+        rows, starts = np.unique(i[order], return_index=True)
+        for row, js in zip(rows.tolist(), np.split(j[order], starts[1:])):
+            js = js[(part[js] != part[row]) & (100 * np.minimum(size[js], size[row])
+                                               >= percent * np.maximum(size[js], size[row]))]
+            both = common.with_each(row, js)
+            for other in js[100 * both >= percent * (size[row] + size[js] - both)].tolist():
+                if part[other] != part[row]:
+                    part[part == part[other]] = part[row]
+                    yield row, other
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _nodes(batches):
-            columns = [table.column(c).to_numpy() for c in ("_node", "_mask", "_tree", "_v")]
-            mates: dict[int, list[np.ndarray]] = {}
-            for i, j in _pairs(columns[0], _matrix(table), columns[1], columns[2]):
-                for a, b in zip(i.tolist(), j.tolist()):
-                    mates.setdefault(a, []).append(b)
-            sets = [np.frombuffer(s, np.uint64) for s in table.column("_set").to_pylist()]
-            size, part = np.array([len(s) for s in sets]), np.arange(len(sets))
-            out: list[tuple[int, int]] = []
-            for i, js in mates.items():
-                js = np.array(js)
-                js = js[(part[js] != part[i]) & (100 * np.minimum(size[js], size[i])
-                                                >= percent * np.maximum(size[js], size[i]))]
-                for j in confirmed(sets, i, js).tolist():
-                    if part[j] != part[i]:
-                        out.append((int(columns[3][i]), int(columns[3][j])))
-                        node = slice(*np.searchsorted(columns[0], [columns[0][i], columns[0][i] + 1]))
-                        part[node][part[node] == part[j]] = part[i]
+            node, mask, tree, v = (table.column(c).to_numpy() for c in ("_node", "_mask", "_tree", "_v"))
+            found = list(_pairs(node, _matrix(table), mask, tree))
+            if not found:
+                continue
+            i, j = (np.concatenate(side) for side in zip(*found))
+            first = np.searchsorted(node, node[i])  # where the pair's node begins
+            order, out = np.argsort(first, kind="stable"), []
+            begins, cuts = np.unique(first[order], return_index=True)
+            for lo, part in zip(begins.tolist(), np.split(order, cuts[1:])):
+                hi = int(np.searchsorted(node, node[lo], "right"))
+                sets = [np.frombuffer(s, np.uint64) for s in table.column("_set").slice(lo, hi - lo).to_pylist()]
+                out += [(v[lo + a], v[lo + b]) for a, b in forest(sets, i[part] - lo, j[part] - lo)]
             if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["_a", "_b"])
+                a, b = (np.array(side, np.int64) for side in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["_a", "_b"])
 
     return run
 
@@ -219,9 +246,11 @@ def _leaves(sets: DataFrame, leaf: int, scratch: Scratch) -> DataFrame:
         big = level.where(~small)
         if big.isEmpty():
             break
-        coordinates = [TREES + depth * BRANCHES + b for b in range(BRANCHES)]
-        level = counted(big.join(sets, "_v").select("_tree", "_v", F.explode(F.array(*[
-            F.xxhash64("_node", F.lit(c), _token(c)) for c in coordinates])).alias("_node")))
+        first, second = TREES + 2 * depth, TREES + 2 * depth + 1
+        child = F.xxhash64("_node", F.lit(first), _token(first))
+        other = F.xxhash64("_node", F.lit(second), _token(second))
+        children = F.when(F.pmod("_node", F.lit(4)) == 0, F.array(child, other)).otherwise(F.array(child))
+        level = counted(big.join(sets, "_v").select("_tree", "_v", F.explode(children).alias("_node")))
         found = found.unionByName(level.where(small).select("_tree", "_node", "_v"))
     else:
         found = found.unionByName(_blocks(level.where(~small), leaf))
