@@ -9,8 +9,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Wide text rows and whole web pages go to the Python workers in small batches.
+    # Wide text rows and whole web pages go to the Python workers in small batches, bounded by bytes too.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
