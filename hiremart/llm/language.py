@@ -3,7 +3,7 @@
 A text is the bag of its character 2- to 4-grams that hold no inner white space, white space at an
 end standing for a word border. Each gram is hashed to one of 2**BITS embeddings; their mean goes
 through a linear softmax. Embeddings and softmax are trained together by stochastic gradient descent
-in numpy on a bounded sample (``TRAIN_ROWS``): whole documents and random short stretches of them, so
+in numpy on a bounded sample (``TRAIN_ROWS`` texts of at most ``TRAIN_CHARS``): whole documents and random short stretches of them, so
 that short texts are told apart as well. A part of the sample is held back: it sets the temperature
 (least log loss) and the rejection threshold, below which only REJECT_SHARE of its texts fall.
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hiremart.llm.common import add_columns, bounded_share
 
 BITS, WIDTH, GRAMS, SLICE = 15, 16, (2, 3, 4), 1 << 18
-TRAIN_ROWS, REJECT_SHARE = 4_000, 0.001
+TRAIN_ROWS, TRAIN_CHARS, REJECT_SHARE = 4_000, 200_000, 0.001
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
 
@@ -134,6 +134,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.5,
 def train(docs: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on about ``train_rows`` documents at most, among those that ``usable`` allows."""
     known = docs.select("doc_id", "text", "lang").where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.where(F.length("text") <= TRAIN_CHARS)
     rows = bounded_share(known, ["doc_id"], train_rows).toArrow().sort_by("doc_id").to_pydict()
     return fit(rows["text"], rows["lang"])
 

@@ -19,7 +19,7 @@ from hiremart.llm.common import map_rows, text_of
 from hiremart.llm.word_tokens import ChunkIds, worker_ids
 
 #: Bounds of the warm-up: rows read, longest text among them, entries broadcast, longest entry.
-WARM_ROWS, WARM_CHARS, TABLE, ENTRY_CHARS = 4_000, 50_000, 50_000, 40
+WARM_ROWS, WARM_CHARS, TABLE, ENTRY_CHARS = 4_000, 10_000, 50_000, 40
 
 _LENGTHS: dict[tuple[str, int], dict[str, int]] = {}
 

@@ -5,7 +5,7 @@ A document is the set of its words, adjacent pairs and pairs with one word betwe
 coordinate, L1 leaves most weights at exactly zero), so the fitted model is a short list of
 coordinates and weights that is broadcast; ``MAX_WEIGHTS`` bounds it. Scoring reads the whole text.
 
-Training rows are a bounded sample of labelled documents (``train_rows``); rows with a null label or
+Training rows are a bounded sample of labelled documents (``train_rows`` texts of at most ``TRAIN_CHARS``); rows with a null label or
 text are left out, equal ids count once with their highest label. Null and empty texts get the score
 of the bias. Without any label the score is EMPTY_SCORE. Repeated rows are scored each.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hiremart.llm.common import add_columns, bounded_share, text_of
 
 BITS = 20
-TRAIN_ROWS, MAX_WEIGHTS, EMPTY_SCORE = 20_000, 200_000, 0.01
+TRAIN_ROWS, TRAIN_CHARS, MAX_WEIGHTS, EMPTY_SCORE = 20_000, 200_000, 200_000, 0.01
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 _A, _B, _C = (np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, train_rows: int =
     known = labels.where(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     known = bounded_share(known, ["doc_id"], train_rows)  # bounded, so it can be broadcast
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id")
+    rows = docs.select("doc_id", "text").where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(known), "doc_id")
     rows = rows.select("doc_id", "text", "_toxic").toArrow().sort_by("doc_id").to_pydict()
     return fit(rows["text"], [int(t > 0) for t in rows["_toxic"]])
 
