@@ -71,14 +71,12 @@ def score_text(words: Words, dense: np.ndarray, bias: float, text: str) -> float
     return float(1 / (1 + np.exp(-np.clip(bias + dense[at].sum(dtype=np.float64), -35, 35))))
 
 
-def fit(texts: list[str], labels: list[int], alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
+def fit_sets(sets: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
         l2: float = 0.0, updates: int = 50_000, seed: int = 7) -> Model:
-    """FTRL-proximal, one document at a time in a fixed random order, 3 to 20 times over (about ``updates``)."""
-    n = len(texts)
+    """FTRL-proximal over sets of coordinates, one document at a time in a fixed random order, 3 to 20 times over (about ``updates``)."""
+    n = len(sets)
     if not n:
         return Model(np.zeros(0, np.uint32), np.zeros(0, np.float32), float(np.log(EMPTY_SCORE / (1 - EMPTY_SCORE))))
-    words = Words()
-    sets = [np.unique(words.coordinates(t)) for t in texts]
     z, s = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias = float(np.log((sum(labels) + 0.5) / (n - sum(labels) + 0.5)))
     bias_s, order = 1.0, np.random.default_rng(seed)
@@ -100,14 +98,24 @@ def fit(texts: list[str], labels: list[int], alpha: float = 1.0, beta: float = 1
     return Model(at.astype(np.uint32), w[at].astype(np.float32), bias)
 
 
+def fit(texts: list[str], labels: list[int], **settings) -> Model:
+    words = Words()
+    return fit_sets([np.unique(words.coordinates(t)) for t in texts], labels, **settings)
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on about ``train_rows`` labelled documents at most; ``usable`` says which ids may be used."""
     known = labels.where(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     known = bounded_share(known, ["doc_id"], train_rows)  # bounded, so it can be broadcast
     rows = docs.select("doc_id", "text").where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(known), "doc_id")
-    rows = rows.select("doc_id", "text", "_toxic").toArrow().sort_by("doc_id").to_pydict()
-    return fit(rows["text"], [int(t > 0) for t in rows["_toxic"]])
+    table, words, found = rows.select("doc_id", "text", "_toxic").toArrow(), Words(), []
+    for batch in table.to_batches(max_chunksize=256):  # the texts are never all unpacked at once
+        for key, text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+            found.append((key, np.unique(words.coordinates(text)), int(toxic > 0)))
+    del table, words
+    found.sort(key=lambda row: row[0])
+    return fit_sets([row[1] for row in found], [row[2] for row in found])
 
 
 _WORDS = Words()
