@@ -1,19 +1,21 @@
 """Near-duplicate classes by a chosen-path set similarity join.
 
 A document is the set of its word shingles; it is embedded as COORDINATES minwise tokens. Each of
-TREES independent trees branches all sets by the minwise token at one coordinate. A node of more
-than ``leaf`` sets is branched again, by one further coordinate, or by two for every fourth node: 1.25
-children on average for a set that keeps its company with probability 0.8, so that the rows of a tree
-do not multiply. A pair of similarity s is together in a root's node with probability s, so all
-TREES miss a pair at the threshold with probability 0.2**10 = 1e-7; each level of branching lowers
-a tree's share by a factor of 0.84 (ten trees then miss 2e-5, 2e-4, 1.6e-3 on one to three levels, which
-only sets in nodes of more than ``leaf`` different sets meet). Small nodes are compared exhaustively:
-pairs whose signatures agree in less than ESTIMATE of their coordinates are passed over (at similarity
-0.8 that has probability 1e-8), the others are confirmed on their full shingle sets.
-
-Equal sets are one vertex from the start, a pair is compared in the first root leaf that it shares,
-and a node gives a spanning forest of its links only, so copies are never expanded into pairs. A
-node that no coordinate can split any further is compared in blocks.
+TREES trees puts all sets into nodes by the minwise token at one coordinate. A pair of similarity s is
+together in a root with probability s, so all TREES miss a pair at the threshold with probability
+0.2**10 = 1e-7. A node of more than ``leaf`` sets is branched by two further coordinates, drawn from the
+hash of the node itself and never one that its path has seen, so that neither trees nor nodes share their
+choices.
+So a tree keeps a pair below its root with probability q, where q(0) = 1, q(k + 1) = 1 - (1 - s q(k))**2: 0.96 on one level and never below 0.9375 at s = 0.8, whatever the
+depth. Over the spread of a pair's agreement on the 54 coordinates that nodes draw from, all trees miss a pair at
+the threshold with 7e-7, 1.7e-6, 2.9e-6 on one to three levels, 8.6e-6 on ten and 1.2e-5 on all 27. Nodes of at
+most ``leaf`` sets are compared exhaustively: pairs whose signatures agree in less than ESTIMATE of their coordinates
+are passed over (at similarity 0.8 that has probability 1e-8), the others are confirmed on their full shingle sets.
+
+Equal sets are one vertex from the start, a pair is compared in the first root compared whole that it
+shares, and a node gives a spanning forest of its links only, so copies are never expanded into pairs
+and sets of one class are not compared again in a node. Blocks make the work of a node grow with the square
+of its different sets, which is what exactness costs where no coordinate tells the sets apart.
 
 Results are classes of documents: texts without words and rows without id are linked with nothing
 (an id of null stays null and is kept), rows with equal ids or texts are in one class each time,
@@ -22,12 +24,12 @@ and the smallest id of a class stands for it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hiremart.llm.common import map_rows, text_of
 from hiremart.sources.scratch import Scratch
@@ -136,19 +138,19 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return np.frombuffer(joined, "<u4").reshape(-1, COORDINATES)
 
 
-def _pairs(node: np.ndarray, sig: np.ndarray, mask: np.ndarray, tree: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j), i < j, of a node that may be similar and were not together in an earlier root leaf."""
-    at = np.arange(len(node))
+def _pairs(node: np.ndarray, sig: np.ndarray, mask: np.ndarray, tree: np.ndarray,
+           done: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, of a node that may be similar, are not ``done`` and were not compared in an earlier root."""
+    at, roots = np.arange(len(node)), np.ascontiguousarray(sig[:, :TREES])
+    earlier = ((mask & ((1 << tree) - 1))[:, None] >> np.arange(TREES) & 1) > 0
     for step in range(1, len(node)):
         at = at[:np.searchsorted(at, len(node) - step)]
         at = at[node[at] == node[at + step]]
         if not len(at):
             break
-        same = sig[at] == sig[at + step]
-        maybe = np.flatnonzero(same.sum(1) >= ESTIMATE * COORDINATES)
-        i = at[maybe]
-        before = (same[maybe, :TREES] << np.arange(TREES)).sum(1) & mask[i] & ((1 << tree[i]) - 1)
-        i = i[before == 0]
+        i = at[~done(at, at + step)]
+        i = i[~((roots[i] == roots[i + step]) & earlier[i]).any(1)]
+        i = i[(sig[i] == sig[i + step]).sum(1) >= ESTIMATE * COORDINATES]
         if len(i):
             yield i, i + step
 
@@ -158,11 +160,21 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _nodes(batches):
         columns = [table.column(c).to_numpy() for c in ("_node", "_mask", "_tree")]
         chosen = np.zeros(table.num_rows, bool)
-        for i, j in _pairs(columns[0], _matrix(table), columns[1], columns[2]):
+        both = lambda i, j: chosen[i] & chosen[j]
+        for i, j in _pairs(columns[0], _matrix(table), columns[1], columns[2], both):
             chosen[i] = chosen[j] = True
         yield from table.select(["_tree", "_node", "_v"]).filter(pa.array(chosen)).combine_chunks().to_batches()
 
 
+def _stretches(table: pa.Table, alone: int = 64) -> Iterator[pa.Table]:
+    """Nodes of more than ``alone`` rows one by one, runs of smaller ones together."""
+    _, starts, sizes = np.unique(table.column("_node").to_numpy(), return_index=True, return_counts=True)
+    big = sizes > alone
+    cuts = np.unique(np.concatenate([[0], starts[big], (starts + sizes)[big], [table.num_rows]]))
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield table.slice(lo, hi - lo)
+
+
 class _Common:
     """Sizes of the intersections of the sets of a node."""
 
@@ -179,12 +191,12 @@ class _Common:
                 dense[row[many], shared[place[many]]] = True
                 self.bits = np.packbits(dense, axis=1).view(np.uint64)
 
-    def with_each(self, i: int, js: np.ndarray) -> np.ndarray:
+    def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         if self.bits is not None:
-            return np.bitwise_count(self.bits[i] & self.bits[js]).sum(1, dtype=np.int64)
-        own, out = self.sets[i], np.zeros(len(js), np.int64)
-        for n, j in enumerate(js.tolist()):
-            other = self.sets[j]
+            return np.bitwise_count(self.bits[i] & self.bits[j]).sum(1, dtype=np.int64)
+        out = np.zeros(len(i), np.int64)
+        for n, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+            own, other = self.sets[a], self.sets[b]
             out[n] = np.count_nonzero(own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other)
         return out
 
@@ -192,74 +204,87 @@ class _Common:
 def _links(percent: int):
     """Spanning forests of the confirmed links of each node."""
 
-    def forest(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
-        size, part, common = np.array([len(s) for s in sets]), np.arange(len(sets)), _Common(sets)
-        order = np.argsort(i, kind="stable")
-        rows, starts = np.unique(i[order], return_index=True)
-        for row, js in zip(rows.tolist(), np.split(j[order], starts[1:])):
-            js = js[(part[js] != part[row]) & (100 * np.minimum(size[js], size[row])
-                                               >= percent * np.maximum(size[js], size[row]))]
-            both = common.with_each(row, js)
-            for other in js[100 * both >= percent * (size[row] + size[js] - both)].tolist():
-                if part[other] != part[row]:
-                    part[part == part[other]] = part[row]
-                    yield row, other
+    def forest(table: pa.Table) -> Iterator[tuple[int, int]]:
+        node, mask, tree, v = (table.column(c).to_numpy() for c in ("_node", "_mask", "_tree", "_v"))
+        sets = [np.frombuffer(s, np.uint64) for s in table.column("_set").to_pylist()]
+        size, part, common = np.array([len(s) for s in sets]), np.arange(len(sets)), {}
+        first = np.searchsorted(node, node)  # where the row's node begins
+        for i, j in _pairs(node, _matrix(table), mask, tree, lambda i, j: part[i] == part[j]):
+            alike = 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            i, j = i[alike], j[alike]
+            begins, cuts = np.unique(first[i], return_index=True)
+            for lo, a, b in zip(begins.tolist(), np.split(i, cuts[1:]), np.split(j, cuts[1:])):
+                hi = int(np.searchsorted(node, node[lo], "right"))
+                if lo not in common:
+                    common[lo] = _Common(sets[lo:hi])
+                both, own = common[lo].of(a - lo, b - lo), part[lo:hi]
+                right = 100 * both >= percent * (size[a] + size[b] - both)
+                for x, y in zip(a[right].tolist(), b[right].tolist()):
+                    if part[x] != part[y]:
+                        own[own == part[y]] = part[x]
+                        yield v[x], v[y]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _nodes(batches):
-            node, mask, tree, v = (table.column(c).to_numpy() for c in ("_node", "_mask", "_tree", "_v"))
-            found = list(_pairs(node, _matrix(table), mask, tree))
-            if not found:
-                continue
-            i, j = (np.concatenate(side) for side in zip(*found))
-            first = np.searchsorted(node, node[i])  # where the pair's node begins
-            order, out = np.argsort(first, kind="stable"), []
-            begins, cuts = np.unique(first[order], return_index=True)
-            for lo, part in zip(begins.tolist(), np.split(order, cuts[1:])):
-                hi = int(np.searchsorted(node, node[lo], "right"))
-                sets = [np.frombuffer(s, np.uint64) for s in table.column("_set").slice(lo, hi - lo).to_pylist()]
-                out += [(v[lo + a], v[lo + b]) for a, b in forest(sets, i[part] - lo, j[part] - lo)]
-            if out:
-                a, b = (np.array(side, np.int64) for side in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["_a", "_b"])
+            for stretch in _stretches(table):
+                out = list(forest(stretch))
+                if out:
+                    a, b = (np.array(side, np.int64) for side in zip(*out))
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["_a", "_b"])
 
     return run
 
 
-def _token(coordinate: int):
-    return F.substring("_sig", 4 * coordinate + 1, 4)
+def _token(coordinate: int | Column) -> Column:
+    return F.substr(F.col("_sig"), F.lit(4 * coordinate + 1), F.lit(4))
 
 
-def _leaves(sets: DataFrame, leaf: int, scratch: Scratch) -> DataFrame:
-    """(_tree, _node, _v, _mask): the small nodes of all trees; _mask: the trees whose root put a set in a leaf."""
-    def counted(level: DataFrame) -> DataFrame:
-        sizes = level.groupBy("_tree", "_node").agg(F.count("*").alias("_size")).where("_size > 1")
-        return scratch.stage(level.join(sizes, ["_tree", "_node"]))
+def _branched(big: DataFrame, sets: DataFrame) -> DataFrame:
+    """(_tree, _parent, _whole, _used, _v, _node): both children of each set of the nodes ``big``.
+
+    The coordinates come from the node: its trees and nodes draw independently, never one in ``_used``.
+    """
+    def drawn(among: str, salt: int) -> Column:
+        at = F.pmod(F.xxhash64("_tree", "_node", F.lit(salt)), F.size(among).cast("bigint"))
+        return F.element_at(among, at.cast("int") + 1)
 
+    rows = big.withColumn("_free", F.array_except(F.sequence(F.lit(TREES), F.lit(COORDINATES - 1)), "_used"))
+    rows = rows.withColumn("_first", drawn("_free", 1)).withColumn("_free", F.array_remove("_free", F.col("_first")))
+    pair = F.array("_first", drawn("_free", 2))
+    rows = rows.select("_tree", F.col("_node").alias("_parent"), F.col("_size").alias("_whole"), "_v",
+                       F.concat("_used", pair).alias("_used"), F.explode(pair).alias("_at"))
+    return rows.join(sets, "_v").select("_tree", "_parent", "_whole", "_used", "_v", F.xxhash64(
+        "_parent", "_at", _token(F.col("_at"))).alias("_node"))
+
+
+def _leaves(sets: DataFrame, leaf: int, scratch: Scratch) -> DataFrame:
+    """(_tree, _node, _v, _mask): the nodes to compare; _mask: the trees whose root with a set is compared whole."""
     roots = sets.select("_v", F.posexplode(F.array(*[
         F.xxhash64(F.lit(t), _token(t)) for t in range(TREES)])).alias("_tree", "_node"))
-    level = counted(roots)
+    sizes = roots.groupBy("_tree", "_node").agg(F.count("*").alias("_size")).where("_size > 1")
+    level = scratch.stage(roots.join(sizes, ["_tree", "_node"]))
     small = F.col("_size") <= leaf
-    masks = level.groupBy("_v").agg(F.sum(F.when(small, F.expr("shiftleft(1, _tree)")).otherwise(0)).alias("_mask"))
-    found = level.where(small).select("_tree", "_node", "_v")
-    for depth in range(_LEVELS):
-        big = level.where(~small)
+    whole = found = level.where(small).select("_tree", "_node", "_v")
+    big = level.where(~small).withColumn("_used", F.array().cast("array<int>"))
+    for _ in range(_LEVELS):
         if big.isEmpty():
             break
-        first, second = TREES + 2 * depth, TREES + 2 * depth + 1
-        child = F.xxhash64("_node", F.lit(first), _token(first))
-        other = F.xxhash64("_node", F.lit(second), _token(second))
-        children = F.when(F.pmod("_node", F.lit(4)) == 0, F.array(child, other)).otherwise(F.array(child))
-        level = counted(big.join(sets, "_v").select("_tree", "_v", F.explode(children).alias("_node")))
+        below = scratch.stage(_branched(big, sets))
+        sizes = scratch.stage(below.groupBy("_tree", "_parent", "_node").agg(
+            F.count("*").alias("_size"), F.max("_whole").alias("_whole")))
+        level = scratch.stage(below.drop("_whole").join(
+            sizes.where("_size > 1").drop("_whole"), ["_tree", "_parent", "_node"]).select("_tree", "_node", "_v", "_size", "_used"))
         found = found.unionByName(level.where(small).select("_tree", "_node", "_v"))
+        big = level.where(~small)
     else:
-        found = found.unionByName(_blocks(level.where(~small), leaf))
-    return found.join(masks, "_v")
+        found = found.unionByName(_blocks(big, leaf))
+    masks = whole.groupBy("_v").agg(F.sum(F.expr("shiftleft(1, _tree)")).alias("_mask"))
+    return found.join(masks, "_v", "left").withColumn("_mask", F.coalesce("_mask", F.lit(0)).cast("bigint"))
 
 
 def _blocks(big: DataFrame, leaf: int) -> DataFrame:
-    """Nodes that cannot be split, as nodes for each pair of their blocks."""
-    half = F.greatest(F.lit(1), F.ceil(F.col("_size") / (leaf // 4 or 1))).cast("int")
+    """Nodes that are not branched, as nodes for each pair of their blocks."""
+    half = F.greatest(F.lit(1), F.ceil(F.col("_size") / (leaf // 2 or 1))).cast("int")
     rows = big.withColumn("_of", half).withColumn("_block", F.pmod(F.xxhash64("_v"), F.col("_of")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_of") - 1))
     rows = rows.select("*", other.alias("_other"))

@@ -70,6 +70,27 @@ def test_crowds_of_near_copies(spark, leaf):
     assert [got[i] for i in range(len(rows))] == brute(rows, 4)
 
 
+def classes(spark, sets, leaf):
+    rows = [(i, " ".join(words)) for i, words in enumerate(sets)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
+           chosen_path.near_duplicates(docs, words=1, leaf=leaf).collect()}
+    return [got[i] for i in range(len(rows))], brute(rows, 1)
+
+
+def test_pairs_in_branched_nodes(spark, monkeypatch):
+    """Pairs at 0.82 among texts that share a fifth of their words, in nodes of three and more levels."""
+    levels, branched = [], chosen_path._branched
+    monkeypatch.setattr(chosen_path, "_branched", lambda *a: levels.append(1) or branched(*a))
+    shared, sets = [f"s{i}" for i in range(30)], []
+    for n in range(500):
+        one = shared + [f"p{n}x{i}" for i in range(60)]
+        sets += [one, one[:81] + [f"q{n}x{i}" for i in range(9)]]
+    got, want = classes(spark, sets, leaf=6)
+    assert got == want and len({low for _, low in want}) == 500
+    assert len(levels) >= 3
+
+
 def test_nodes_that_cannot_be_split_are_compared_in_blocks(spark):
     big = spark.range(40).selectExpr("0 as _tree", "7L as _node", "id as _v", "40L as _size")
     nodes = {}
