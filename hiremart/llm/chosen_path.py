@@ -5,8 +5,10 @@ TREES trees puts all sets into nodes by the minwise token at one coordinate. A p
 together in a root with probability s, so all TREES miss a pair at the threshold with probability
 0.2**10 = 1e-7. A node of more than ``leaf`` sets is branched by two further coordinates, drawn from the
 hash of the node itself and never one that its path has seen, so that neither trees nor nodes share their
-choices.
-So a tree keeps a pair below its root with probability q, where q(0) = 1, q(k + 1) = 1 - (1 - s q(k))**2: 0.96 on one level and never below 0.9375 at s = 0.8, whatever the
+choices. A node that this does not shrink well (its children hold more than half of its pairs: two of
+its sets agree at a coordinate with probability above 1/4) is not branched but compared in blocks, whole.
+So a tree keeps a pair below its root with probability 1 in nodes compared whole, and in branched ones with q,
+where q(0) = 1, q(k + 1) = 1 - (1 - s q(k))**2: 0.96 on one level and never below 0.9375 at s = 0.8, whatever the
 depth. Over the spread of a pair's agreement on the 54 coordinates that nodes draw from, all trees miss a pair at
 the threshold with 7e-7, 1.7e-6, 2.9e-6 on one to three levels, 8.6e-6 on ten and 1.2e-5 on all 27. Nodes of at
 most ``leaf`` sets are compared exhaustively: pairs whose signatures agree in less than ESTIMATE of their coordinates
@@ -266,14 +268,22 @@ def _leaves(sets: DataFrame, leaf: int, scratch: Scratch) -> DataFrame:
     small = F.col("_size") <= leaf
     whole = found = level.where(small).select("_tree", "_node", "_v")
     big = level.where(~small).withColumn("_used", F.array().cast("array<int>"))
-    for _ in range(_LEVELS):
+    for depth in range(_LEVELS):
         if big.isEmpty():
             break
         below = scratch.stage(_branched(big, sets))
         sizes = scratch.stage(below.groupBy("_tree", "_parent", "_node").agg(
             F.count("*").alias("_size"), F.max("_whole").alias("_whole")))
+        square = lambda c: F.col(c).cast("double") * F.col(c)
+        shrunk = sizes.groupBy("_tree", "_parent").agg((2 * F.sum(square("_size")) <= F.max(square("_whole"))).alias("_ok"))
+        shrunk = shrunk.where("_ok").select("_tree", "_parent")
+        hot = big.join(shrunk.withColumnRenamed("_parent", "_node"), ["_tree", "_node"], "left_anti")
+        if depth == 0:
+            whole = whole.unionByName(hot.select("_tree", "_node", "_v"))
+        found = found.unionByName(_blocks(hot, leaf))
         level = scratch.stage(below.drop("_whole").join(
-            sizes.where("_size > 1").drop("_whole"), ["_tree", "_parent", "_node"]).select("_tree", "_node", "_v", "_size", "_used"))
+            sizes.where("_size > 1").drop("_whole"), ["_tree", "_parent", "_node"]).join(
+            shrunk, ["_tree", "_parent"], "left_semi").select("_tree", "_node", "_v", "_size", "_used"))
         found = found.unionByName(level.where(small).select("_tree", "_node", "_v"))
         big = level.where(~small)
     else:

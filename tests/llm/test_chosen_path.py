@@ -78,6 +78,15 @@ def classes(spark, sets, leaf):
     return [got[i] for i in range(len(rows))], brute(rows, 1)
 
 
+def test_star_of_near_copies(spark):
+    """Each copy is at 0.82 to its template and below 0.8 to all other copies: one missed pair parts it."""
+    r = random.Random(3)
+    template = [f"w{i}" for i in range(100)]
+    star = [template] + [r.sample(template, 90) + [f"c{n}x{k}" for k in range(10)] for n in range(1_100)]
+    got, want = classes(spark, star, leaf=60)
+    assert got == want and {low for _, low in want} == {0}
+
+
 def test_pairs_in_branched_nodes(spark, monkeypatch):
     """Pairs at 0.82 among texts that share a fifth of their words, in nodes of three and more levels."""
     levels, branched = [], chosen_path._branched
