@@ -15,7 +15,8 @@ import numpy as np
 _RAW = "script|style|noscript|template|textarea|iframe|svg|title|object|canvas|select"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + _RAW + r")\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>?.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<=/)>"  # foreign elements can close themselves
+    r"|<(?P<raw>" + _RAW + r")(?=[\s/>]|\Z)(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>?.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<(?=[a-zA-Z])[^>]*\Z", re.S | re.I)

@@ -61,6 +61,15 @@ def test_dom_closes_what_html_closes():
     assert all(e > i for i, e in enumerate(page.end))
 
 
+@pytest.mark.parametrize("icon", [
+    '<svg class="i"/>', '<svg/>', '<svg\nviewBox="0 > 1" />', '<svg-icon></svg-icon>', '<svg-icon name="x"/>', "<title-bar></title-bar>",
+    "<select-box></select-box>", "<object-x><canvas-y></canvas-y></object-x>", "<svg><title>no</title><path d='M0'/></svg>",
+    "<SVG width='1'><g/>no</SVG>", "<script/>no</script>", "<select><option>no</select>"])
+def test_icons_and_custom_elements_end_where_they_end(icon):
+    page = dom.Page(f"<p>a {icon} b</p><p>rest</p>")
+    assert "".join(t for _, t in page.segments).split() == ["a", "b", "rest"]
+
+
 def test_odd_pages(spark, model):
     deep = "<div>" * 3_000 + "x" + "</div>" * 3_000
     texts = [None, "", "plain words only", "<", "<p", "<!-- open", "<script>x", "</p></div>", deep, "<article><p>a&amp;b &lt;c&gt;"
