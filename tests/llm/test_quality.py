@@ -65,6 +65,33 @@ def test_estimate_equals_numpy(spark):
     assert (distance()[:150] / scale > quality.CUTOFF).all() and (distance()[150:] / scale < quality.CUTOFF).mean() > 0.99
 
 
+def test_one_extreme_statistic_is_enough(spark):
+    r = np.random.default_rng(8)
+    word = lambda: "".join(r.choice(list("abcdefghijklmnop"), 5))
+
+    def lines(words, size=10):
+        return "\n".join(" ".join(words[i:i + size]) for i in range(0, len(words), size))
+
+    clean = [lines([word() for _ in range(int(r.integers(100, 140)))]) for _ in range(300)]
+    names, short, grams = [word() for _ in range(7)], [], set()
+    while len(short) < 120:  # lines of one word each, no three of them in the same order twice
+        free = [w for w in names if (*short[-2:], w) not in grams]
+        short.append(str(r.choice(free or [word()])))
+        grams.add(tuple(short[-3:]))
+    phrase = [word() for _ in range(3)]
+    repeated = [w for _ in range(20) for w in (*phrase, word(), word(), word())] + [word(), word(), word()]
+    marked = [w[:4] + "#" if i % 20 < 9 else w for i, w in enumerate(word() for _ in range(120))]
+    odd = ["\n".join(short), lines(repeated, 11), lines(marked)]
+    found = [plain(t) for t in odd]
+    assert [n[3] > 100 for n in found] == [True, False, False] and [n[4] > 50 for n in found] == [False, True, False]
+    assert [n[2] > 50 for n in found] == [False, False, True] and all(100 * n[4] <= 50 * n[0] for n in found)
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean + odd)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {x["doc_id"]: x["kept"] for x in quality.judge(docs).collect()}
+    assert not any(kept[300 + i] for i in range(len(odd)))
+    assert all(kept[i] for i in range(300))
+
+
 def test_odd_rows(spark):
     for least in (1, 200):
         got = quality.judge(cases.odd(spark), least=least).collect()
