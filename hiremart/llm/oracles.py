@@ -55,5 +55,15 @@ def secret_scan() -> str:
     FROM texts LEFT JOIN found USING (doc_id) GROUP BY doc_id"""
 
 
+def exact_dedup() -> str:
+    return """
+    WITH texts AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[ \\x09-\\x0D]', '', 'g') AS c
+      FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY c) AS group_size,
+      row_number() OVER best = 1 AS kept, sha256(c) AS text_sha256
+    FROM texts WINDOW best AS (PARTITION BY c ORDER BY length(t) DESC, doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": near_duplicates(), "op8_secrets": secret_scan()}
+    return {"op4_chosen_path": near_duplicates(), "op8_secrets": secret_scan(), "op11_exact_dedup": exact_dedup()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, fingerprint, html_text, language, oracles, packing, quality, secrets, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, exact_dedup, fingerprint, html_text, language, oracles, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 from hiremart.sources.scratch import Scratch
 
@@ -89,9 +89,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(documents(spark, sf_dir), Scratch(spark))
+    return found.withColumn("digest", F.lower(F.hex("digest"))).withColumnRenamed("digest", "text_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
-        op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op7_html_text, op8_secrets, op9_token_counts, op10_toxicity)}
+        op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op7_html_text, op8_secrets, op9_token_counts, op10_toxicity,
+        op11_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
