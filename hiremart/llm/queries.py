@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, exact_dedup, fingerprint, html_text, language, oracles, packing, quality, secrets, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, conversation_repair, exact_dedup, fingerprint, html_text, language, oracles, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 from hiremart.sources.scratch import Scratch
 
@@ -94,10 +94,26 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("digest", F.lower(F.hex("digest"))).withColumnRenamed("digest", "text_sha256")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    broken = conversation_repair.damaged(rows)
+    report = scratch.stage(conversation_repair.report(broken, scratch))
+    digests = conversation_repair.digests(conversation_repair.repaired(broken, report))
+    # Conversations that lost all their rows, or all of them to the repair, still get a row.
+    counts = list(conversation_repair.COUNTS)
+    pieces = report.withColumn("sha256", F.lit(None).cast("string")).unionByName(digests, allowMissingColumns=True)
+    pieces = pieces.unionByName(rows.select("conv_id").distinct(), allowMissingColumns=True)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return pieces.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.coalesce(F.max("sha256"), nothing).alias("repaired_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
         op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op7_html_text, op8_secrets, op9_token_counts, op10_toxicity,
-        op11_exact_dedup)}
+        op11_exact_dedup, op12_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
