@@ -65,5 +65,52 @@ def exact_dedup() -> str:
     FROM texts WINDOW best AS (PARTITION BY c ORDER BY length(t) DESC, doc_id)"""
 
 
+def _crc32(digits: str) -> str:
+    """CRC-32 of an ASCII text, eight bit steps a character."""
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({digits}, ''), lambda d: ascii(d)::BIGINT)), "
+            f"lambda c, b: {bits}), 4294967295)")
+
+
+def merkle(fan: int = 8, levels: int = 9, top_levels: int = 3) -> str:
+    """Proofs level by level: a finished tree goes up unchanged. Room for fan ** levels rows of a language."""
+    value = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def climb(name: str, tree: str, steps: int) -> str:
+        run = f"PARTITION BY {tree}, i // {fan} ORDER BY i ROWS BETWEEN"
+        parts = []
+        for k in range(steps):
+            parts.append(f"""{name}{k}s AS (SELECT *, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+              coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            parts.append(f"""{name}{k + 1} AS (SELECT {tree}, i // {fan} AS i, CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h,
+              (n + {fan - 1}) // {fan} AS n FROM {name}{k} GROUP BY {tree}, i // {fan}, n)""")
+        return ", ".join(parts)
+
+    def walk(name: str, source: str, into: str, place: str, on: str, steps: int) -> str:
+        parts, before = [], source
+        for k in range(steps):
+            parts.append(f"""{into}{k} AS (SELECT w.* EXCLUDE ({place}, f, p), w.{place} // {fan} AS {place}, CASE WHEN s.n = 1 THEN f ELSE sha256(l || f || r) END AS f,
+              CASE WHEN s.n = 1 THEN p ELSE p || l || r END AS p FROM {before} w JOIN {name}{k}s s ON {on} w.{place} = s.i)""")
+            before = f"{into}{k}"
+        return ", ".join(parts)
+
+    return f"""
+    WITH leaves AS (
+      SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, {leaf('text')} AS leaf,
+        CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS changed FROM documents),
+    a0 AS (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h,
+      count(*) OVER (PARTITION BY tree) AS n, doc_id, changed FROM leaves),
+    {climb('a', 'tree', levels)},
+    b0 AS (SELECT 0 AS one, tree AS i, h, count(*) OVER () AS n FROM a{levels}),
+    {climb('b', 'one', top_levels)},
+    w AS (SELECT doc_id, tree, i AS place, h AS leaf, coalesce(changed, h) AS f, '' AS p FROM a0),
+    {walk('a', 'w', 'u', 'place', 'w.tree = s.tree AND', levels)},
+    {walk('b', f'u{levels - 1}', 'v', 'tree', '', top_levels)}
+    SELECT doc_id, leaf, t.h AS subroot, b.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = b.h AS verified
+    FROM v{top_levels - 1} v JOIN (SELECT doc_id, tree AS home FROM w) USING (doc_id) JOIN a{levels} t ON t.tree = home CROSS JOIN b{top_levels} b"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": near_duplicates(), "op8_secrets": secret_scan(), "op11_exact_dedup": exact_dedup()}
+    return {"op4_chosen_path": near_duplicates(), "op8_secrets": secret_scan(), "op11_exact_dedup": exact_dedup(),
+            "op13_merkle": merkle()}

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hiremart.llm import byte_bpe, chosen_path, conversation_repair, exact_dedup, fingerprint, html_text, language, oracles, packing, quality, secrets, token_counts, toxicity
+from hiremart.llm import byte_bpe, chosen_path, conversation_repair, exact_dedup, fingerprint, html_text, language, merkle, oracles, packing, quality, secrets, token_counts, toxicity
 from hiremart.llm.common import crc_of, documents
 from hiremart.sources.scratch import Scratch
 
@@ -110,10 +110,25 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.coalesce(F.max("sha256"), nothing).alias("repaired_sha256"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def leaf(text: Column) -> Column:
+        return merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0  # rows without id are left alone
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaves = documents(spark, sf_dir).select(
+        "doc_id", "lang", leaf(F.col("text")).alias("leaf"), F.when(tampered, leaf(lower)).alias("tampered"))
+    proofs = merkle.manifest(leaves, Scratch(spark))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {fn.__name__: fn for fn in (
         op1_fingerprint, op2_packing, op3_quality, op4_chosen_path, op5_language, op6_byte_bpe, op7_html_text, op8_secrets, op9_token_counts, op10_toxicity,
-        op11_exact_dedup, op12_conversation_repair)}
+        op11_exact_dedup, op12_conversation_repair, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
