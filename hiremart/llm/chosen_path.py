@@ -20,8 +20,8 @@ and sets of one class are not compared again in a node. Blocks make the work of
 of its different sets, which is what exactness costs where no coordinate tells the sets apart.
 
 Results are classes of documents: texts without words and rows without id are linked with nothing
-(an id of null stays null and is kept), rows with equal ids or texts are in one class each time,
-and the smallest id of a class stands for it.
+(an id of null stays null and is kept), rows with equal texts are in
+one class, rows that share only their id are not, and the smallest id of a class stands for it.
 """
 
 from __future__ import annotations
@@ -85,20 +85,24 @@ def _shingles(words: int) -> Shingles:
     return _WORKER.setdefault(words, Shingles(words))
 
 
+def digest(column: str = "text") -> Column:
+    return F.unhex(F.sha2(text_of(column).cast("binary"), 256))
+
+
 def _sketch(docs: DataFrame, words: int, id_column: str) -> DataFrame:
-    """(_id, _n, _key, _sig) of each row; equal sets have equal keys."""
+    """(_id, _text, _n, _key, _sig) of each row; equal sets have equal keys, ``_text`` is the digest of the text."""
 
     def run(blocks: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         make = _shingles(words)
         for block in blocks:
             sets = [make.of(t) for t in block["text"]]
-            yield {"_id": block["_id"], "_n": [len(s) for s in sets],
+            yield {"_id": block["_id"], "_text": block["_text"], "_n": [len(s) for s in sets],
                    "_key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                    "_sig": [signature(s) if len(s) else b"" for s in sets]}
 
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.col(id_column).alias("_id"), text_of().alias("text"))
-    return map_rows(rows, run, f"_id {kind}, _n bigint, _key binary, _sig binary")
+    rows = docs.select(F.col(id_column).alias("_id"), digest().alias("_text"), text_of().alias("text"))
+    return map_rows(rows, run, f"_id {kind}, _text binary, _n bigint, _key binary, _sig binary")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_column: str) -> DataFrame:
@@ -322,11 +326,15 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, leaf: int = LEAF,
                     id_column: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for each row of ``docs`` (id, text)."""
+    """(id, n_shingles, component_id, kept, text_sha256, first) for each row of ``docs`` (id, text).
+
+    ``first`` marks the rows that stand for their class: those with the smallest id and, among these, text digest.
+    """
     scratch = scratch or Scratch(docs.sparkSession)
     rows = scratch.stage(_sketch(docs, words, id_column))
     sets = scratch.stage(rows.where("_n > 0 and _id is not null").groupBy("_key").agg(
-        F.min("_id").alias("_id"), F.any_value("_sig").alias("_sig")).withColumn("_v", F.monotonically_increasing_id()))
+        F.min(F.struct("_id", "_text")).alias("_first"), F.any_value("_sig").alias("_sig")).select(
+        "_key", F.col("_first._id").alias("_id"), "_first", "_sig", F.monotonically_increasing_id().alias("_v")))
     tokens = sets.select("_v", "_sig")
     leaves = scratch.stage(_leaves(tokens, leaf, scratch))
     by_node = lambda df: df.repartition("_node").sortWithinPartitions("_node", "_v")
@@ -338,11 +346,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, leaf: in
         tokens, "_v").join(full, "_v")
     links = scratch.stage(by_node(full_rows).mapInArrow(_links(percent), "_a bigint, _b bigint").distinct())
     roots = components(links, scratch)
-    members = sets.select("_v", "_id", "_key").join(roots, "_v", "left").withColumn("_root", F.coalesce("_root", "_v"))
-    lowest = members.groupBy("_root").agg(F.min("_id").alias("_component"))
-    classes = members.join(lowest, "_root").select("_key", "_component")
-    out = rows.select("_id", "_n", F.when(F.col("_id").isNotNull() & (F.col("_n") > 0), F.col("_key")).alias("_key"))
-    out = out.join(classes, "_key", "left").withColumn("_component", F.coalesce("_component", "_id"))
+    members = sets.select("_v", "_first", "_key").join(roots, "_v", "left").withColumn("_root", F.coalesce("_root", "_v"))
+    lowest = members.groupBy("_root").agg(F.min("_first").alias("_least"))
+    classes = members.join(lowest, "_root").select("_key", "_least")
+    out = rows.select("_id", "_text", "_n", F.when(F.col("_id").isNotNull() & (F.col("_n") > 0), F.col("_key")).alias("_key"))
+    out = out.join(classes, "_key", "left").withColumn("_component", F.coalesce("_least._id", "_id"))
     return out.select(F.col("_id").alias(id_column), F.col("_n").alias("n_shingles"),
                       F.col("_component").alias("component_id"),
-                      F.coalesce(F.col("_id") == F.col("_component"), F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("_id") == F.col("_component"), F.lit(True)).alias("kept"), F.col("_text").alias("text_sha256"),
+                      F.coalesce(F.struct("_id", "_text") == F.col("_least"), F.lit(True)).alias("first"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -30,6 +32,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names`` behind as many underscores as it takes for none to be a column of ``df``."""
+    taken, mark = {c.lower() for c in df.columns}, "_"
+    while any(mark + n in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def crc_of(column: str = "doc_id") -> Column:
     """crc32 of the id written as text (null: empty), the contract's fold function."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
@@ -78,6 +88,19 @@ def add_columns(df: DataFrame, keep: list[str], value: Column, fn: Callable[[lis
     return rows.mapInArrow(run, inner).toDF(*keep, *[f.name for f in new])
 
 
+def made_in_task(sample: DataFrame, order: list[Column], fn: Callable[[Iterator[dict[str, list]]], Any]) -> Any:
+    """What ``fn`` makes of a bounded ``sample``, read in ``order`` in blocks of columns.
+
+    One task streams the rows, so the driver gets the result only and a lost executor costs a repetition.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = (b.slice(at, ROWS).to_pydict() for b in batches for at in range(0, b.num_rows, ROWS))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fn(blocks))], pa.binary())], ["made"])
+
+    made = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "made binary").collect()
+    return pickle.loads(made[0]["made"]) if made else fn(iter(()))
+
+
 def bounded_share(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     """About ``rows`` rows chosen by a hash of ``keys``, or all if there are no more than that."""
     total = df.count()

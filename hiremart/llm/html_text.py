@@ -7,7 +7,7 @@ together in which boilerplate holds boilerplate only and an article holds articl
 Text directly in article elements is kept; its blocks are joined.
 
 The trees are fitted to SAMPLES pages of a seeded grammar of layouts (page_samples), with words from
-at most WORD_PAGES pages of the table. Null html counts as empty; a page without article text, or
+WORDS words of about WORD_PAGES pages of the table. Null html counts as empty; a page without article text, or
 without an element, gives an empty text; broken markup is read as far as it goes; null ids and
 urls are passed on; repeated rows are extracted each. There is no limit on the length of a page.
 """
@@ -20,9 +20,9 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from hiremart.llm import boosting, dom, page_samples
-from hiremart.llm.common import add_columns
+from hiremart.llm.common import add_columns, bounded_share
 
-SAMPLES, WORD_PAGES, SEED = 800, 50, 17
+SAMPLES, WORD_PAGES, WORDS, SEED = 800, 50, 5_000, 17
 STATES = "cbm"
 _MARK = re.compile(r'data-y="([cbm])"')
 #: Allowed states of a child by the state of its parent: article, boilerplate, holder.
@@ -78,10 +78,11 @@ def extract_all(model: boosting.Boosted, pages: list[str]) -> list[str]:
 
 
 def sample_words(pages: DataFrame) -> list[str]:
-    """Words of a few pages without their markup."""
-    rows = pages.select("html").where("html is not null and length(html) < 100000").take(WORD_PAGES)
-    texts = [re.sub(r"<[^>]*>|&[^;\s]*;?", " ", r["html"]) for r in rows]
-    return [w for t in texts for w in t.split() if len(w) < 30 and not set(w) & set("<>&\"'=;")]
+    """WORDS words at most of about WORD_PAGES pages, without their markup; both drawn by hash."""
+    few = bounded_share(pages.select("html").where("html is not null"), ["html"], WORD_PAGES)
+    words = few.select(F.explode(F.split(F.regexp_replace("html", r"<[^>]*>|&[^;\s]*;?", " "), r"\s+")).alias("word"))
+    words = words.where((F.length("word") < 30) & ~F.col("word").rlike("[<>&\"'=;]") & (F.col("word") != "")).distinct()
+    return [r["word"] for r in words.orderBy(F.xxhash64("word"), "word").limit(WORDS).collect()]
 
 
 def extract(pages: DataFrame, model: boosting.Boosted, keep: list[str], name: str = "text") -> DataFrame:

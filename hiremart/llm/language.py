@@ -3,9 +3,15 @@
 A text is the bag of its character 2- to 4-grams that hold no inner white space, white space at an
 end standing for a word border. Each gram is hashed to one of 2**BITS embeddings; their mean goes
 through a linear softmax. Embeddings and softmax are trained together by stochastic gradient descent
-in numpy on a bounded sample (``TRAIN_ROWS`` texts of at most ``TRAIN_CHARS``): whole documents and random short stretches of them, so
-that short texts are told apart as well. A part of the sample is held back: it sets the temperature
-(least log loss) and the rejection threshold, below which only REJECT_SHARE of its texts fall.
+in numpy, on whole documents and random short stretches of them, so that short texts are told apart as well.
+They come from a bounded sample: about ``TRAIN_ROWS`` documents drawn by a hash of their ids, a language's share
+raised to LANGUAGE_ROWS if it has fewer, read whole in the order of that hash until their bags fill ``TRAIN_BYTES``. One
+task bags and fits; no text comes to the driver.
+
+A fifth of the sample is held back. It sets the temperature (least log loss) and, with foreign text, the rejection: a text
+is accepted by how familiar it is, its largest logit. Models fitted without some of the languages show how familiar text of an unlearned
+language gets against that of learned ones; the threshold keeps out FOREIGN_SHARE of it, but never more than
+REJECT_SHARE of the held-back texts. Below three languages there is no foreign text, and that share alone is the threshold.
 
 For prediction the two linear layers are multiplied out, so a worker holds one row of language
 weights per bucket. Null texts and texts without a letter are ``und`` with score 0 and rejected.
@@ -14,16 +20,19 @@ Without training rows every text is. Repeated rows are predicted each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hiremart.llm.common import add_columns, bounded_share
+from hiremart.llm.common import add_columns, made_in_task
 
 BITS, WIDTH, GRAMS, SLICE = 15, 16, (2, 3, 4), 1 << 18
-TRAIN_ROWS, TRAIN_CHARS, REJECT_SHARE = 4_000, 200_000, 0.001
+TRAIN_ROWS, TRAIN_BYTES, LANGUAGE_ROWS, EPOCHS = 4_000, 400_000_000, 200, 4
+REJECT_SHARE, FOREIGN_SHARE, FOLDS, FOLD_ROWS = 0.001, 0.99, 4, 800
+#: Languages whose share of the sample is set one by one; others are drawn like the whole.
+LANGUAGES = 1_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
 
@@ -57,8 +66,8 @@ class Model:
     languages: list[str]
     table: np.ndarray  # bucket x language
     bias: np.ndarray
-    temperature: float
-    threshold: float
+    temperature: float = 1.0
+    threshold: float = -np.inf  # least familiarity
 
     def logits(self, text: str) -> np.ndarray:
         total, n = np.zeros(len(self.languages)), 0
@@ -71,9 +80,9 @@ class Model:
         """(language, calibrated probability, accepted)."""
         if not self.languages or not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, False
-        p = softmax(self.logits(text) / self.temperature)
-        best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] >= self.threshold)
+        logits = self.logits(text)
+        best = int(logits.argmax())
+        return self.languages[best], float(softmax(logits / self.temperature)[best]), bool(logits[best] >= self.threshold)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -81,33 +90,35 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.5, seed: int = 5) -> Model:
-    """Train on four fifths of the rows, calibrate on the rest."""
-    languages = sorted(set(langs))
-    rng, wide = np.random.default_rng(seed), 1 << BITS
-    emb = rng.normal(0, 0.1, (wide, WIDTH)).astype(np.float32)
-    out, bias = np.zeros((WIDTH, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    target = [languages.index(n) for n in langs]
-    order = rng.permutation(len(texts))
-    held, used = order[:len(texts) // 5], order[len(texts) // 5:]
-
-    def bag(text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        parts = list(buckets(text))
-        if not parts:
-            return None
-        at, n = np.unique(np.concatenate(parts), return_counts=True)
-        return at, (n / n.sum()).astype(np.float32)
-
-    whole = {i: b for i in used if (b := bag(texts[i]))}
+Bag = tuple[np.ndarray, np.ndarray]  # buckets and their shares
+
+
+def bag(text: str) -> Bag | None:
+    parts = list(buckets(text))
+    if not parts:
+        return None
+    at, n = np.unique(np.concatenate(parts), return_counts=True)
+    return at.astype(np.uint16), (n / n.sum()).astype(np.float32)
+
+
+def stretch(text: str, rng: np.random.Generator) -> Bag | None:
+    """The bag of 1 to 24 words."""
+    words = text.split()
+    if not words:
+        return None
+    start, size = rng.integers(len(words)), rng.integers(1, 25)
+    return bag(" ".join(words[start:start + size]))
+
+
+def learn(rows: list[list[Bag | None]], target: list[int], classes: int, rng: np.random.Generator, epochs: int = EPOCHS,
+          rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (bucket x class) and bias by gradient descent; a row is a whole text's bag and one for each epoch."""
+    emb = rng.normal(0, 0.1, (1 << BITS, WIDTH)).astype(np.float32)
+    out, bias = np.zeros((WIDTH, classes), np.float32), np.zeros(classes, np.float32)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for i in rng.permutation(used):
-            words = texts[i].split()
-            bags = [whole.get(i)]
-            if words:  # a stretch of 1 to 24 words
-                start, size = rng.integers(len(words)), rng.integers(1, 25)
-                bags.append(bag(" ".join(words[start:start + size])))
-            for found in filter(None, bags):
+        for i in rng.permutation(len(rows)):
+            for found in filter(None, (rows[i][0], rows[i][1 + epoch])):
                 at, share = found
                 mean = share @ emb[at]
                 slope = softmax(mean @ out + bias)
@@ -116,27 +127,73 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, rate: float = 0.5,
                 out -= step * np.outer(mean, slope)
                 bias -= 0.1 * step * slope
                 emb[at] -= step * len(at) ** 0.5 * share[:, None] * back
-    model = Model(languages, (emb @ out).astype(np.float32), bias.astype(np.float64), 1.0, 0.0)
-    checked = [i for i in held if any(map(str.isalpha, texts[i]))]
-    if len(languages) > 1 and checked:
-        logits = np.array([model.logits(texts[i]) for i in checked])
-        truth = np.array([target[i] for i in checked])
+    return (emb @ out).astype(np.float32), bias.astype(np.float64)
+
+
+def logits_of(table: np.ndarray, bias: np.ndarray, bags: list[Bag]) -> np.ndarray:
+    return np.array([share @ table[at] for at, share in bags]).reshape(len(bags), len(bias)) + bias
+
+
+def foreign_ratio(rows: list, langs: list[str], held: list, held_langs: list[str], away: set[str], rng: np.random.Generator) -> float | None:
+    """How familiar text of the languages ``away`` gets to a model without them, against the median of its own."""
+    names = sorted(set(langs) - away)
+    own = [i for i, n in enumerate(langs) if n not in away][:FOLD_ROWS]
+    foreign = [row[0] for row, n in zip(rows, langs) if n in away and row[0]][:FOLD_ROWS]
+    familiar = [b for b, n in zip(held, held_langs) if n not in away]
+    if len(names) < 2 or not foreign or not familiar:
+        return None
+    table, bias = learn([rows[i] for i in own], [names.index(langs[i]) for i in own], len(names), rng, epochs=2)
+    middle = np.median(logits_of(table, bias, familiar).max(1))
+    return float(np.quantile(logits_of(table, bias, foreign).max(1), FOREIGN_SHARE) / middle) if middle > 0 else None
+
+
+def fit(rows: Iterable[tuple[str, str]], most: int = TRAIN_BYTES, seed: int = 5) -> Model:
+    """Train on four fifths of the (text, language) rows, calibrate on the rest; ``most`` bounds the bytes of their bags."""
+    rng, used, langs, held, held_langs, size = np.random.default_rng(seed), [], [], [], [], 0
+    for at, (text, lang) in enumerate(rows):
+        whole = bag(text)
+        if at % 5 == 4:
+            if whole and any(map(str.isalpha, text)):
+                held.append(whole)
+                held_langs.append(lang)
+        else:
+            used.append([whole, *[stretch(text, rng) for _ in range(EPOCHS)]])
+            langs.append(lang)
+        size += len(whole[0]) * 6 if whole else 0
+        if size >= most:
+            break
+    languages = sorted(set(langs))
+    table, bias = learn(used, [languages.index(n) for n in langs], len(languages), rng)
+    model = Model(languages, table, bias)
+    known = [i for i, n in enumerate(held_langs) if n in languages]
+    if len(languages) > 1 and known:
+        logits = logits_of(table, bias, [held[i] for i in known])
+        truth = np.array([languages.index(held_langs[i]) for i in known])
         loss = {t: -np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()
                 for t in np.geomspace(0.2, 8, 40)}
         model.temperature = float(min(loss, key=loss.get))
-        p = softmax(logits / model.temperature)
-        right = p.argmax(1) == truth
-        if right.any():
-            model.threshold = float(min(0.5, np.quantile(p.max(1)[right], REJECT_SHARE, method="lower")))
+        own = logits.max(1)[logits.argmax(1) == truth]
+        if len(own):
+            model.threshold = float(np.quantile(own, REJECT_SHARE, method="lower"))
+            folds = [set(languages[k::FOLDS]) for k in range(min(FOLDS, len(languages)))] if len(languages) > 2 else []
+            ratios = [r for away in folds if (r := foreign_ratio(used, langs, held, held_langs, away, rng)) is not None]
+            if ratios:
+                model.threshold = min(model.threshold, max(ratios) * float(np.median(own)))
     return model
 
 
 def train(docs: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Model:
-    """Fit on about ``train_rows`` documents at most, among those that ``usable`` allows."""
-    known = docs.select("doc_id", "text", "lang").where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known.where(F.length("text") <= TRAIN_CHARS)
-    rows = bounded_share(known, ["doc_id"], train_rows).toArrow().sort_by("doc_id").to_pydict()
-    return fit(rows["text"], rows["lang"])
+    """Fit on about ``train_rows`` documents, among those that ``usable`` allows."""
+    known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
+        F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    whole = train_rows / max(1, sum(counts.values()))
+    steps = 1 << 30
+    parts = [v for lang, n in counts.items() if LANGUAGE_ROWS > whole * n for v in (F.lit(lang), F.lit(int(min(1, LANGUAGE_ROWS / n) * steps)))]
+    share = F.coalesce(F.element_at(F.create_map(*parts), F.col("lang")), F.lit(int(min(1, whole) * steps))) if parts else F.lit(int(min(1, whole) * steps))
+    drawn = known.select("doc_id", "text", "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < share)
+    return made_in_task(drawn, [F.xxhash64("doc_id"), F.xxhash64("text"), F.col("doc_id")], lambda blocks: fit(
+        row for b in blocks for row in zip(b["text"], b["lang"])))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None,

@@ -130,6 +130,13 @@ def stream_cuts(start: int, end: int, stream: int, window: int) -> Iterator[tupl
         start = stop
 
 
+def _short(ids: np.ndarray) -> bytes:
+    """Ids in 16 bits each."""
+    if len(ids) and ids.max() >= 1 << 16:
+        raise ValueError(f"token id {ids.max()} does not fit 16 bits")
+    return ids.astype("<u2").tobytes()
+
+
 def tokenise(docs: DataFrame, path: str, id_column: str) -> DataFrame:
     """(id, ids, doc_tokens): ids with the end token, as little-endian unsigned 32-bit integers."""
     end = END.to_bytes(4, "little")
@@ -138,7 +145,7 @@ def tokenise(docs: DataFrame, path: str, id_column: str) -> DataFrame:
         tokens = worker_ids(path)
         for block in blocks:
             ids = [tokens.ids(t) + end for t in block["text"]]
-            yield {"_id": block["_id"], "ids": [np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in ids],
+            yield {"_id": block["_id"], "ids": [_short(np.frombuffer(i, "<u4")) for i in ids],
                    "doc_tokens": [len(i) // 4 for i in ids]}
 
     kind = docs.schema[id_column].dataType.simpleString()
@@ -150,7 +157,7 @@ def pack(docs: DataFrame, path: str, window: int = 2048, id_column: str = "doc_i
          scratch: Scratch | None = None) -> DataFrame:
     """One row per piece: id, start, length, ids, doc_tokens, sequence_id, offset.
 
-    ``path`` is a tokenizer file whose ids fit 16 bits, in which they are kept between the passes.
+    ``path`` is a tokenizer file whose ids fit 16 bits, in which they are kept between the passes; others are refused.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)

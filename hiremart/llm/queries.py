@@ -41,7 +41,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+    return chosen_path.near_duplicates(documents(spark, sf_dir), words=4, percent=80).drop("text_sha256", "first")
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from hiremart.llm.common import let, text_of
+from hiremart.llm.common import let, text_of, unused
 from hiremart.sources import files
 from hiremart.sources.scratch import Scratch
 
@@ -166,11 +166,12 @@ def scan_history(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Ru
 def redact(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
            id_column: str = "doc_id") -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by its kind in brackets."""
+    blob, spans = unused(docs, "blob", "spans")
     found = scan_blobs(docs, ledger, scratch, rules, id_column).where(F.size("spans") > 0)
-    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    columns = [F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans"))).alias("text")
+    found = found.select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    columns = [F.when(F.col(spans).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(spans))).alias("text")
                if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(found, blob_of() == F.col("_blob"), "left").select(*columns)
+    return docs.join(found, blob_of() == F.col(blob), "left").select(*columns)
 
 
 def written(spans: Column) -> Column:

@@ -1,7 +1,7 @@
 """Token counts of whole texts by a map-side two-tier look-up.
 
-The lengths of the most frequent white-space pre-tokens, found in a bounded warm-up sample, are broadcast as a
-compact table; everything else is encoded once per worker and kept in the worker's bounded cache.
+The lengths of the most frequent white-space pre-tokens, counted in a bounded sample of whole texts drawn by a hash
+over all documents, are broadcast as a compact table; everything else is encoded once per worker and kept in the worker's bounded cache.
 No pre-token is ever shuffled, and the counts do not depend on what the table holds.
 
 Null texts count as empty (0 tokens), null ids are passed on, repeated rows are counted each, columns
@@ -15,23 +15,29 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from hiremart.llm.common import map_rows, text_of
-from hiremart.llm.word_tokens import ChunkIds, worker_ids
+from hiremart.llm.common import bounded_share, made_in_task, map_rows, text_of
+from hiremart.llm.word_tokens import worker_ids
 
-#: Bounds of the warm-up: rows read, longest text among them, entries broadcast, longest entry.
-WARM_ROWS, WARM_CHARS, TABLE, ENTRY_CHARS = 4_000, 10_000, 50_000, 40
+#: Bounds: texts that the table is counted from, pre-tokens counted at once, entries broadcast, longest entry.
+WARM_ROWS, COUNTED, TABLE, ENTRY_CHARS = 4_000, 1_000_000, 50_000, 40
 
 _LENGTHS: dict[tuple[str, int], dict[str, int]] = {}
 
 
 def frequent_lengths(docs: DataFrame, path: str) -> tuple[str, bytes]:
     """Frequent pre-tokens, one a line, and a byte with the token count of each: at most 2 MB."""
-    tokens, seen = ChunkIds(path), Counter()
-    few = docs.select("text").where(F.length("text") <= WARM_CHARS).take(WARM_ROWS)  # the first tasks' rows
-    for row in few:
-        seen.update(tokens.split(row["text"]))
-    chunks = [c for c, n in seen.most_common(TABLE) if n > 1 and len(c) <= ENTRY_CHARS and c.isprintable()]
-    return "\n".join(chunks), bytes(min(255, len(tokens.encode(c)) // 4) for c in chunks)
+    def count(blocks: Iterator[dict[str, list]]) -> tuple[str, bytes]:
+        tokens, seen = worker_ids(path), Counter()
+        for block in blocks:
+            for text in block["text"]:
+                seen.update(tokens.split(text))
+                if len(seen) > COUNTED:  # the rare half goes
+                    seen = Counter(dict(seen.most_common(COUNTED // 2)))
+        chunks = [c for c, n in seen.most_common(TABLE) if n > 1 and len(c) <= ENTRY_CHARS and c.isprintable()]
+        return "\n".join(chunks), bytes(min(255, len(tokens.encode(c)) // 4) for c in chunks)
+
+    texts = docs.select("text").where("text is not null")
+    return made_in_task(bounded_share(texts, ["text"], WARM_ROWS), [F.xxhash64("text")], count)
 
 
 def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:

@@ -3,25 +3,27 @@
 A document is the set of its words, adjacent pairs and pairs with one word between, hashed into
 2**BITS coordinates. Training keeps the per-coordinate sums of FTRL-proximal (its rates are per
 coordinate, L1 leaves most weights at exactly zero), so the fitted model is a short list of
-coordinates and weights that is broadcast; ``MAX_WEIGHTS`` bounds it. Scoring reads the whole text.
+coordinates and weights that is broadcast, at most 2**BITS of them (8 MB). Scoring reads the whole text.
 
-Training rows are a bounded sample of labelled documents (``train_rows`` texts of at most ``TRAIN_CHARS``); rows with a null label or
-text are left out, equal ids count once with their highest label. Null and empty texts get the score
+Training reads the whole texts of a bounded sample of labelled documents: about ``train_rows``, drawn by a hash of their ids,
+in the order of that hash and until their coordinates fill ``TRAIN_BYTES``. One task hashes and fits; no text comes to the
+driver. Rows with a null label or text are left out, equal ids count once with their highest label. Null and empty texts get the score
 of the bias. Without any label the score is EMPTY_SCORE. Repeated rows are scored each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hiremart.llm.common import add_columns, bounded_share, text_of
+from hiremart.llm.common import add_columns, bounded_share, made_in_task, text_of
 
 BITS = 20
-TRAIN_ROWS, TRAIN_CHARS, MAX_WEIGHTS, EMPTY_SCORE = 20_000, 200_000, 200_000, 0.01
+TRAIN_ROWS, TRAIN_BYTES, EMPTY_SCORE = 20_000, 400_000_000, 0.01
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 _A, _B, _C = (np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -93,29 +95,29 @@ def fit_sets(sets: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta
             bias -= 0.05 * g / np.sqrt(bias_s)
     w = np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((beta + np.sqrt(s)) / alpha + l2))
     at = np.flatnonzero(w)
-    if len(at) > MAX_WEIGHTS:
-        at = np.sort(at[np.argsort(-np.abs(w[at]), kind="stable")[:MAX_WEIGHTS]])
     return Model(at.astype(np.uint32), w[at].astype(np.float32), bias)
 
 
-def fit(texts: list[str], labels: list[int], **settings) -> Model:
-    words = Words()
-    return fit_sets([np.unique(words.coordinates(t)) for t in texts], labels, **settings)
+def fit(rows: Iterable[tuple[str, int]], most: int = TRAIN_BYTES, **settings) -> Model:
+    """Fit to (text, label) rows, as many as fit ``most`` bytes of coordinates."""
+    words, sets, labels, size = Words(), [], [], 0
+    for text, label in rows:
+        sets.append(np.unique(words.coordinates(text)))
+        labels.append(int(label > 0))
+        size += sets[-1].nbytes
+        if size >= most:
+            break
+    return fit_sets(sets, labels, **settings)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on about ``train_rows`` labelled documents at most; ``usable`` says which ids may be used."""
     known = labels.where(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = bounded_share(known, ["doc_id"], train_rows)  # bounded, so it can be broadcast
-    rows = docs.select("doc_id", "text").where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(known), "doc_id")
-    table, words, found = rows.select("doc_id", "text", "_toxic").toArrow(), Words(), []
-    for batch in table.to_batches(max_chunksize=256):  # the texts are never all unpacked at once
-        for key, text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-            found.append((key, np.unique(words.coordinates(text)), int(toxic > 0)))
-    del table, words
-    found.sort(key=lambda row: row[0])
-    return fit_sets([row[1] for row in found], [row[2] for row in found])
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id")
+    return made_in_task(rows, [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")], lambda blocks: fit(
+        row for b in blocks for row in zip(b["text"], b["toxic"])))
 
 
 _WORDS = Words()

@@ -24,8 +24,31 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_text_of_an_unlearned_language_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    for away in ("es", "fr"):
+        model = language.train(docs, language.F.col("lang") != away)
+        assert away not in model.languages
+        rows = language.predict(docs, model, ["lang"]).groupBy("lang").agg(
+            language.F.avg(language.F.col("accepted").cast("int"))).collect()
+        accepted = dict(map(tuple, rows))
+        assert accepted.pop(away) < 0.1 and min(accepted.values()) > 0.99
+
+
+def test_a_rare_language_gets_rows():
+    rows = [(cases.PROSE[0] * 3, "en")] * 900 + [(f"{cases.PROSE[1]} {i}", "de") for i in range(60)] + [("la la lo li", "it")] * 40
+    model = language.fit(rows[i * 7 % 1000] for i in range(1000))
+    assert model.languages == ["de", "en", "it"] and model.predict("lo la li la")[0] == "it"
+
+
+def test_training_is_bounded_in_bytes():
+    texts = (f"text number {i} of an endless stream" for i in iter(int, 1))
+    assert language.fit(((t, "en") for t in texts), most=10_000).languages == ["en"]
+    assert toxicity.fit(((t, 1) for t in texts), most=10_000).bias > 0
+
+
 def test_language_of_odd_rows(spark):
-    model = language.fit([cases.PROSE[0]] * 40 + [cases.PROSE[1]] * 40, ["en"] * 40 + ["de"] * 40)
+    model = language.fit([(cases.PROSE[0], "en")] * 40 + [(cases.PROSE[1], "de")] * 40)
     rows = language.predict(cases.odd(spark), model).collect()
     assert len(rows) == len(cases.ODD_ROWS)
     by = {r["doc_id"]: r for r in rows}
@@ -46,7 +69,7 @@ def test_slices_hold_the_grams_of_the_whole(monkeypatch):
 
 
 def test_multiplied_out_layers_equal_the_two(spark):
-    model = language.fit(["aa bb"] * 10 + ["cc dd"] * 10, ["x"] * 10 + ["y"] * 10)
+    model = language.fit([("aa bb", "x")] * 10 + [("cc dd", "y")] * 10)
     grams = np.concatenate(list(language.buckets("aa dd")))
     assert np.allclose(model.logits("aa dd"), model.table[grams].mean(0) + model.bias, atol=1e-5)
 
@@ -67,7 +90,7 @@ def test_ftrl_finds_the_words_and_stays_sparse():
     texts = [" ".join(f"w{i}" for i in r.integers(0, 300, 40)) for _ in range(800)]
     labels = [int(i % 8 == 0) for i in range(800)]
     texts = [t + (" nasty, words" if y else " words") for t, y in zip(texts, labels)]
-    model = toxicity.fit(texts, labels)
+    model = toxicity.fit(zip(texts, labels))
     words, dense = toxicity.Words(limit=20), model.dense()
     score = [toxicity.score_text(words, dense, model.bias, t) for t in texts]
     assert all((s >= 0.5) == bool(y) for s, y in zip(score, labels))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -45,6 +46,31 @@ def test_near_duplicate_stage_keeps_one_of_each_class(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(want)
 
 
+def test_near_duplicate_stage_loses_no_text_of_a_shared_id(spark):
+    a, b, c = ("w%d " * 9 % tuple(range(k, k + 9)) for k in (0, 100, 200))
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, c), (7, c + "more "), (7, ""), (8, b), (None, a), (9, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], cases.SCHEMA)
+    got = sorted(((r["doc_id"], r["text"]) for r in STAGE["near_duplicates"](spark, docs, SF).collect()), key=str)
+    assert (7, c) in got or (7, c + "more ") in got
+    assert [r for r in got if r[0] != 7 or not r[1]] == sorted([(3, a), (5, b), (7, ""), (None, a), (9, None)], key=str)
+    assert len(got) == 6
+
+
+def test_column_names_of_any_kind_go_through_every_stage(spark, tmp_path):
+    names = ["_row", "_toxic", "_lang", "_lang_pred", "_score", "_accepted", "_blob", "_spans", "_digest", "_key", "__key", "_text", "toxic"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs.write.parquet(f"{tmp_path}/in")
+    docs = spark.read.parquet(f"{tmp_path}/in")
+    for stage, fn in list(STAGE.items())[:-1]:
+        out = fn(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[name] == f"{name}{r['doc_id']}" for r in rows for name in names)
+    assert STAGE["packing"](spark, docs, SF).count() >= 60
+
+
 def test_secrets_stage_leaves_no_finding_and_no_other_change(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = {r["doc_id"]: r for r in docs.collect()}
