@@ -533,11 +533,8 @@ def extract_company(spark, sf_dir):
 def extract_all_days(spark, sf_dir):
     """Listing, card dedup, newest detail page, company page and merge over the pages of all days."""
     raw = postings(spark, sf_dir)
-    cards = X.dedup_cards(X.extract_listing(listing_pages(raw), CFG))
-    details = X.extract_detail(detail_pages(raw)).withColumn("_at", F.substring_index("job_url", "#", -1))
-    newest = latest_per_key(details.withColumn("job_url", F.substring_index("job_url", "#", 1)), ["job_url"], "_at")
-    companies = X.extract_company(company_pages(spark, sf_dir))
-    return X.merge_records(cards, newest.drop("_at"), companies, F.lit("2024-01-06 00:00:00"))
+    return X.extract_records(listing_pages(raw), detail_pages(raw), company_pages(spark, sf_dir), CFG,
+                             F.lit("2024-01-06 00:00:00"), Scratch(spark))
 
 
 @query
