@@ -63,6 +63,8 @@ class Config:
     ``regex_mode`` picks how the text-cleaning patterns read: ``intended`` collapses whitespace
     and parses deadlines; ``as_written`` treats their doubled backslashes literally, which leaves
     whitespace alone, strips a leading letter ``s`` from locations and never parses a deadline.
+    ``buckets`` is the number of key buckets of the raw table and of open history; it belongs to a
+    store and should give buckets of about a gigabyte.
     """
 
     source_id: int = 1
@@ -74,6 +76,7 @@ class Config:
     warn_hours: int = 25
     error_hours: int = 48
     trend_days: int = 30
+    buckets: int = 16
 
     def __post_init__(self) -> None:
         if self.regex_mode not in REGEX_MODES:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from hiremart.config import POSTING_COLUMNS, REQUIRED_COLUMNS, UPDATE_COLUMNS, Config
 from hiremart.operators.dedup import purge_duplicates
@@ -17,10 +17,11 @@ from hiremart.plans.staging import GRAIN, salary_failures, stg_postings
 from hiremart.sources.drops import (
     POSITION, RAW_SCHEMA, find_drop, prepare_batch, read_drop, require_crawl_times)
 from hiremart.sources.scratch import Scratch
-from hiremart.sources.store import Store
+from hiremart.sources.store import PART, Store, bucket, values_of
 from hiremart.streaming import incremental as INC
 
 RAW, STATE, FACT = "raw", "fact_state", "fct_job_snapshot"
+TWICE = "two rows of one job_url in the raw table"
 
 
 def _ts(text: str):
@@ -32,22 +33,48 @@ def ingest(spark: SparkSession, cfg: Config, store: Store, folder: str, now: str
     """Gate one drop and upsert it into the raw table; returns rows inserted or updated."""
     drop = read_drop(spark, find_drop(spark, folder, cfg, run_date, today))
     require_raw(drop.drop(POSITION), REQUIRED_COLUMNS, "job_url")
-    return load(spark, store, drop, now)
+    return load(spark, store, drop, now, cfg.buckets)
 
 
-def load(spark: SparkSession, store: Store, drop: DataFrame, now: str) -> int:
-    """Upsert a drop; the counts come out of the write itself."""
+def raw_table(store: Store, parts: list[str] | None = None) -> DataFrame:
+    """The raw table, or some of its buckets; its columns are known, so no file is opened to learn them."""
+    return store.read(RAW, parts, RAW_SCHEMA)
+
+
+def load(spark: SparkSession, store: Store, drop: DataFrame, now: str, buckets: int = Config.buckets) -> int:
+    """Upsert a drop into the buckets of the raw table that hold its links; returns rows inserted or updated.
+
+    Only these buckets are read, joined and written; the files of the others stay. A bucket is written in key
+    order, so that equal keys are neighbours: one pair of them, and the write fails before anything
+    is replaced. An older table may hold such pairs; its buckets then lose all but the newest row of a key.
+    Counts come out of the write itself.
+    """
     require_crawl_times(drop)
-    target = store.read(RAW) if store.exists(RAW) else spark.createDataFrame([], RAW_SCHEMA)
-    # An older table may lack the key's uniqueness: its newest row counts. The batch has one row per key.
-    target = purge_duplicates(target, "job_url", [c for c in ("crawled_at", "created_at") if c in target.columns],
-                              "crawled_at")
-    merged = upsert(target, prepare_batch(drop), "job_url", UPDATE_COLUMNS, "crawled_at",
-                    "created_at", _ts(now))
-    seen = Observation("upsert")
-    counted = merged.observe(seen, F.count_if(F.col("_action") != KEEP).alias("affected"))
-    store.overwrite(RAW, counted.select(*POSTING_COLUMNS, "created_at"))
-    return seen.get["affected"]
+    with Scratch(spark) as scratch:
+        batch = scratch.stage(prepare_batch(drop))
+        part = bucket("job_url", buckets)
+        touched = sorted({*values_of(batch, part)} & {*store.parts(RAW)})
+
+        def write(target: DataFrame) -> int:
+            merged = upsert(target, batch, "job_url", UPDATE_COLUMNS, "crawled_at", "created_at", _ts(now))
+            seen = Observation("upsert")
+            rows = merged.withColumn(PART, part).repartition(PART).withColumn(
+                "_before", F.lag("job_url").over(Window.partitionBy(PART).orderBy("job_url")))
+            rows = rows.withColumn("job_url", F.when(
+                F.col("_before") == F.col("job_url"), F.raise_error(F.lit(TWICE))).otherwise(F.col("job_url")))
+            rows = rows.observe(seen, F.count_if(F.col("_action") != KEEP).alias("affected"))
+            rows.select(*POSTING_COLUMNS, "created_at", PART).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(store.path(RAW))
+            return seen.get["affected"] or 0
+
+        known = raw_table(store, touched)
+        try:
+            return write(known)
+        except Exception as error:  # a task's error reaches the driver as text in one of several classes
+            if TWICE not in str(error):
+                raise
+        times = [c for c in ("crawled_at", "created_at") if c in known.columns]
+        return write(purge_duplicates(known, "job_url", times, "crawled_at"))
 
 
 @dataclass
@@ -70,20 +97,38 @@ def _check(outcome: Outcome, declared: dict, tables, strict: bool) -> None:
             raise
 
 
-def _snapshot(store: Store, scratch: Scratch, name: str, source: DataFrame, key: str, as_of: str
-              ) -> DataFrame:
-    """Merge a source into its history; versions closed by earlier runs are not rewritten."""
-    if not store.exists(name):
-        return store.replace(name, {"open": open_versions(source, key, "updated_at")})
-    merged = scratch.stage(
-        merge_open(store.read(name, ["open"]), source, key, "updated_at", _ts(as_of)))
-    is_open = F.col("dbt_valid_to").isNull()
-    stamp = "closed_" + "".join(c for c in as_of if c.isdigit())
-    earlier = [p for p in store.parts(name) if p == stamp]
-    closed = merged.where(~is_open)
-    if earlier:  # a second run at the same time adds to what the first one closed
-        closed = store.read(name, earlier).unionByName(closed)
-    return store.replace(name, {"open": merged.where(is_open), stamp: closed})
+def _open_parts(store: Store, name: str) -> list[str]:
+    return [p for p in store.parts(name) if p.startswith("b")]
+
+
+def _snapshot(spark: SparkSession, store: Store, name: str, source: DataFrame, key: str, as_of: str, buckets: int) -> DataFrame:
+    """Merge a source into its history. Open versions are kept by bucket of their key, closed ones by run.
+
+    A narrow join of keys and times tells which buckets change; only these are read whole, merged and
+    written. Versions closed by earlier runs are never touched. A run that fails is repeated with its ``as_of``.
+    """
+    part = bucket(key, buckets)
+    if not store.parts(name):
+        store.replace(name, open_versions(source, key, "updated_at"), part)
+        return store.read(name)
+    known = _open_parts(store, name)
+    old = store.read(name, known).select(F.col(key).alias("_k"), "dbt_valid_from")
+    both = source.select(key, "updated_at").join(old, F.col(key) == F.col("_k"), "full_outer")
+    changed = both.where(F.col("_k").isNull() | F.col(key).isNull() | (F.col("dbt_valid_from") < F.col("updated_at")))
+    touched = values_of(changed.select(F.coalesce("_k", key).alias(key)), part)
+    if touched:
+        with Scratch(spark) as scratch:
+            current = store.read(name, [p for p in known if p in touched] or known[:1])
+            current = current.where(part.isin(*touched))
+            merged = scratch.stage(merge_open(current, source.where(part.isin(*touched)), key, "updated_at", _ts(as_of)))
+            is_open = F.col("dbt_valid_to").isNull()
+            stamp = "closed_" + "".join(c for c in as_of if c.isdigit())
+            closed = merged.where(~is_open)
+            if stamp in store.parts(name):  # a second run at the same time adds to what the first one closed
+                closed = store.read(name, [stamp]).unionByName(closed).dropDuplicates(["dbt_scd_id"])
+            store.replace(name, closed, F.lit(stamp))
+            store.replace(name, merged.where(is_open), part, touched)
+    return store.read(name)
 
 
 def _days(store: Store) -> list[str]:
@@ -92,22 +137,20 @@ def _days(store: Store) -> list[str]:
 
 def _fact_state(store: Store, state: DataFrame) -> tuple[list[str], int]:
     """Add the events at or after the high-water mark; returns the days written and the late rows."""
-    if not store.exists(STATE):
-        store.replace_by(STATE, state, "date_id")
-        return _days(store), 0
     before = _days(store)
+    if not before:
+        store.replace(STATE, state, F.col("date_id"))
+        return _days(store), 0
     newest = before[-1:]
     mark = INC.high_water_mark(store.read(STATE, newest), "snapshot_ts")
     # A late row can only be stored among the rows of its own day: other days are not opened.
-    old = state.where(F.col("snapshot_ts") < _ts(mark)).select(F.col("date_id").cast("string")).distinct()
-    touched = {r["date_id"] for r in old.collect()}  # days, not rows
-    known = store.read(STATE, [p for p in before if p in touched])
+    old = state.where(F.col("snapshot_ts") < _ts(mark))
+    known = store.read(STATE, [p for p in values_of(old, F.col("date_id")) if p in before])  # days, not rows
     late = INC.late_rows(state, known, GRAIN, "snapshot_ts", mark).count()
     batch = INC.on_or_after(state, "snapshot_ts", mark)
     # Only the newest stored day can hold rows at the mark: older days are neither read nor written.
-    merged = INC.delete_insert(store.read(STATE, newest), batch, GRAIN)
-    store.replace_by(STATE, merged, "date_id")
-    return [p for p in _days(store) if p >= (newest or [""])[0]], late
+    store.replace(STATE, INC.delete_insert(store.read(STATE, newest), batch, GRAIN), F.col("date_id"))
+    return [p for p in _days(store) if p >= newest[0]], late
 
 
 def serving_fact(store: Store, days: list[str] | None = None) -> DataFrame:
@@ -125,7 +168,7 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
 
     ``strict`` stops at the first layer with violations; otherwise they are listed in the outcome.
     """
-    raw = store.read(RAW)
+    raw = raw_table(store)
     state = INC.freshness(raw, "crawled_at", _ts(as_of), cfg.warn_hours, cfg.error_hours).first()
     failures = salary_failures(raw, cfg).first()["n_violations"]
     outcome = Outcome(state["status"], 0, failures)
@@ -144,9 +187,9 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
         _check(outcome, {**K.SOURCE, **K.STAGING}, tables.__getitem__, strict)
 
         tables["snap_dim_job"] = _snapshot(
-            store, scratch, "snap_dim_job", jobs, "job_bk", as_of)
+            spark, store, "snap_dim_job", jobs, "job_bk", as_of, cfg.buckets)
         tables["snap_dim_company"] = _snapshot(
-            store, scratch, "snap_dim_company", companies, "company_bk", as_of)
+            spark, store, "snap_dim_company", companies, "company_bk", as_of, cfg.buckets)
         _check(outcome, K.SNAPSHOTS, tables.__getitem__, strict)
 
         days, outcome.late_rows = _fact_state(store, M.fact_state(events, cfg))

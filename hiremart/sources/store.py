@@ -1,105 +1,75 @@
-"""Versioned Parquet tables.
+"""Where the daily tables are: Parquet folders that Spark's own writer fills.
 
-A table is a list of part folders named by its newest manifest. A write fills new folders and then
-adds a manifest, so readers see the old table or the new one, a failed run leaves no trace, and
-parts that did not change are never rewritten.
+A table is either written whole, or by parts (a day, a hash bucket of a key) with dynamic partition overwrite:
+the parts that a frame holds rows of are replaced when its job commits, the files of all others stay as they
+are. A job that fails or is stopped before that leaves the table as it was and can be run again.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from hiremart.sources import files
 
-WHOLE = "all"
+PART = "part"
+
+
+def bucket(key: str, buckets: int) -> Column:
+    """Name of the part that holds a key, one of ``buckets``."""
+    return F.concat(F.lit("b"), F.lpad(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), len(str(buckets)), "0"))
+
+
+def values_of(df: DataFrame, part: Column) -> list[str]:
+    """The parts that a frame has rows of; their number is bounded by the layout of the table."""
+    return sorted(r[0] for r in df.select(part.cast("string")).distinct().collect())
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self._spark, self._root = spark, root.rstrip("/")
 
-    def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
+    def path(self, name: str) -> str:
+        return f"{self._root}/{name}"
 
     def parts(self, name: str) -> list[str]:
-        """Part names of the newest version, sorted."""
-        return sorted(self._manifest(name)["parts"])
-
-    def read(self, name: str, parts: list[str] | None = None) -> DataFrame:
-        """The table, or the named parts of it. Columns a part lacks read as missing."""
-        manifest = self._manifest(name)
-        schema = T.StructType.fromJson(manifest["schema"])
-        chosen = manifest["parts"] if parts is None else {p: manifest["parts"][p] for p in parts}
-        if not chosen:
-            return self._spark.createDataFrame([], schema)
-        paths = [f"{self._root}/{name}/{folder}" for folder in chosen.values()]
-        return self._spark.read.schema(schema).parquet(*paths)
+        """Names of the parts of a table, sorted."""
+        prefix = f"{PART}="
+        return [n.removeprefix(prefix) for n in files.names(self._spark, self.path(name)) if n.startswith(prefix)]
 
-    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace the whole table."""
-        return self.replace(name, {WHOLE: df}, keep=False)
-
-    def replace(self, name: str, parts: dict[str, DataFrame], keep: bool = True) -> DataFrame:
-        """Write the given parts; the others stay unless ``keep`` is off."""
-        version = self._next(name)
-        written = {}
-        for part, df in parts.items():
-            written[part] = f"v{version}/{part}"
-            df.write.parquet(f"{self._root}/{name}/{written[part]}")
-        schema = next(iter(parts.values())).schema
-        return self._commit(name, version, written, schema, keep)
-
-    def replace_by(self, name: str, df: DataFrame, column: str, keep: bool = True) -> DataFrame:
-        """Write one part per value of ``column``, replacing the parts of those values.
-
-        Rows are rebalanced by that column first: small values share a file and a dominant value is
-        split over several.
-        """
-        version = self._next(name)
-        base = f"{self._root}/{name}/v{version}"
-        df.withColumn("part", F.col(column)).hint("rebalance", "part").write.partitionBy(
-            "part").parquet(base)
-        folders = [n for n in files.names(self._spark, base) if n.startswith("part=")]
-        written = {n.split("=", 1)[1]: f"v{version}/{n}" for n in folders}
-        return self._commit(name, version, written, df.schema, keep)
-
-    def vacuum(self, name: str, versions: int = 2) -> None:
-        """Delete the folders that none of the newest manifests name."""
-        numbers = self._versions(name)
-        used = {folder.split("/", 1)[0] for n in numbers[-versions:]
-                for folder in self._load(name, n)["parts"].values()}
-        for number in numbers[:-versions]:
-            files.delete(self._spark, f"{self._root}/{name}/manifest-{number:08d}.json")
-        newest = numbers[-1] if numbers else 0
-        for entry in files.names(self._spark, f"{self._root}/{name}"):
-            if entry.startswith("v") and entry not in used and int(entry[1:]) <= newest:
-                files.delete(self._spark, f"{self._root}/{name}/{entry}")
-
-    def _commit(self, name: str, version: int, written: dict[str, str], schema: T.StructType,
-                keep: bool) -> DataFrame:
-        parts = {**self._manifest(name)["parts"], **written} if keep and self.exists(name) else written
-        text = json.dumps({"parts": parts, "schema": schema.jsonValue()})
-        files.create_text(self._spark, f"{self._root}/{name}/manifest-{version:08d}.json", text)
-        return self.read(name)
+    def exists(self, name: str) -> bool:
+        return any(not n.startswith(("_", ".")) for n in files.names(self._spark, self.path(name)))
+
+    def read(self, name: str, parts: list[str] | None = None, schema: StructType | str | None = None) -> DataFrame:
+        """The table, or some of its parts, whose folders alone are listed. Columns that a part lacks read as missing.
 
-    def _versions(self, name: str) -> list[int]:
-        found = files.names(self._spark, f"{self._root}/{name}")
-        return [int(n[9:17]) for n in found if n.startswith("manifest-")]
+        With a ``schema`` no file is opened to learn the columns, and a table without rows can be read.
+        """
+        if not self.exists(name) and (schema is None or parts):
+            raise ValueError(f"no table {name!r} in {self._root}")
+        known = self.parts(name)
+        if not (self.exists(name) if parts is None else parts):
+            return self._spark.createDataFrame([], schema if schema else self.read(name).schema)
+        reader = self._spark.read.option("mergeSchema", bool(known) and schema is None)
+        reader = reader.schema(schema) if schema else reader
+        return reader.parquet(*[f"{self.path(name)}/{PART}={p}" for p in (known if parts is None else parts)] or [self.path(name)])
 
-    def _next(self, name: str) -> int:
-        # A run that died may have left a folder without a manifest; its number is not reused.
-        found = files.names(self._spark, f"{self._root}/{name}")
-        taken = [int(n[1:]) for n in found if n[0] == "v"] + self._versions(name)
-        return max(taken, default=0) + 1
+    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a whole table, which ``df`` may not read."""
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.read(name)
 
-    def _load(self, name: str, number: int) -> dict:
-        return json.loads(files.read_text(
-            self._spark, f"{self._root}/{name}/manifest-{number:08d}.json"))
+    def replace(self, name: str, df: DataFrame, part: Column, of: list[str] | None = None) -> None:
+        """Replace the parts that ``df`` has rows of; it may read them. Of the parts ``of``, those without rows now are deleted.
 
-    def _manifest(self, name: str) -> dict:
-        versions = self._versions(name)
-        if not versions:
-            raise ValueError(f"no table {name!r} in {self._root}")
-        return self._load(name, versions[-1])
+        A part should be small enough for a task, as all of it comes from one, in the order ``df`` gives within it.
+        """
+        rows = df.withColumn(PART, part.cast("string"))
+        if of is None:  # parts of any size: small ones share a task, large ones are split
+            rows = rows.hint("rebalance", PART)
+        gone = set()
+        if of is not None:
+            gone = set(of) & set(self.parts(name)) - set(values_of(rows, F.col(PART)))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path(name))
+        for old in gone:
+            files.delete(self._spark, f"{self.path(name)}/{PART}={old}")

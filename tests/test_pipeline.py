@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
@@ -34,6 +35,11 @@ def place(spark, tmp_path_factory):
     return str(tmp_path_factory.mktemp("board"))
 
 
+def written(store, name, part):
+    """Names of the files of a part."""
+    return sorted(n for n in os.listdir(f"{store.path(name)}/part={part}") if n.endswith(".parquet"))
+
+
 def run_day(spark, place, store, day, rows, strict=True):
     drops.write_drop(frame(spark, rows), f"{place}/drops", CFG, f"2024010{day}")
     affected = P.ingest(spark, CFG, store, f"{place}/drops", f"2024-01-0{day} 02:00:00",
@@ -48,14 +54,14 @@ def test_three_daily_runs(spark, place):
         spark, place, store, 1,
         [posting(1, 1, desc_mota=multi), posting(2, 1, location="Saigon"), posting(3, 1)])
     assert (affected, outcome.freshness, outcome.failed_checks) == (3, "pass", [])
-    stored = store.read("raw").where("desc_mota is not null").first()
+    stored = P.raw_table(store).where("desc_mota is not null").first()
     assert stored["desc_mota"] == multi and stored["created_at"] == datetime(2024, 1, 1, 2)
 
     # job 1 seen again, job 2 not crawled, job 4 new with another company
     other = {"company_url": None, "company_name_full": "Beta", "salary": "Trên 1000 USD"}
     affected, outcome = run_day(spark, place, store, 2, [posting(1, 2), posting(4, 2, **other)])
     assert (affected, outcome.late_rows, outcome.salary_failures) == (2, 0, 1)
-    assert store.read("raw").count() == 4
+    assert P.raw_table(store).count() == 4
     fact = P.serving_fact(store)
     assert fact.count() == 5 and fact.where("job_sk is null").count() == 0
     # ids are renumbered on every run, and old facts follow them
@@ -64,8 +70,8 @@ def test_three_daily_runs(spark, place):
     jobs = store.read("dim_job").orderBy("job_sk").collect()
     assert [r["job_sk"] for r in jobs] == list(range(1, 6))
     assert sum(r["dbt_valid_to"] is None for r in jobs) == 4
-    parts = {p: store._manifest("fact_state")["parts"][p] for p in store.parts("fact_state")}
-    assert parts == {"20240101": "v2/part=20240101", "20240102": "v2/part=20240102"}
+    assert store.parts("fact_state") == ["20240101", "20240102"]
+    first_day = written(store, "fact_state", "20240101")
 
     # replaying the day changes nothing
     before = sorted(map(tuple, fact.collect()), key=str)
@@ -77,8 +83,8 @@ def test_three_daily_runs(spark, place):
     _, outcome = run_day(
         spark, place, store, 3, [posting(1, 3, deadline="Còn 5 ngày"), posting(5, 1)])
     assert outcome.late_rows == 1
-    parts = store._manifest("fact_state")["parts"]
-    assert parts["20240101"].startswith("v2/") and parts["20240103"].startswith("v4/")
+    assert written(store, "fact_state", "20240101") == first_day
+    assert store.parts("fact_state") == ["20240101", "20240102", "20240103"]
     assert store.read("snap_dim_job").where("dbt_valid_to is null").count() == 5
 
     reports = {k: [tuple(r) for r in df.collect()]
@@ -94,7 +100,6 @@ def test_three_daily_runs(spark, place):
     P.publish(spark, store)
     assert spark.sql("select count(*) n from fct_job_snapshot f join dim_date d using (date_id)"
                      ).first()["n"] == 6
-    store.vacuum("fact_state", 1)
     assert store.read("fact_state").count() == 6
 
 
@@ -138,17 +143,78 @@ def test_last_duplicate_of_a_file_wins(spark, tmp_path):
     assert P.load(spark, store, drop, "2024-01-01 02:00:00") == 2
 
 
-def test_store_versions(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    one = spark.createDataFrame([(1, "a"), (2, "b")], "d int, v string")
-    assert store.replace_by("t", one, "d").count() == 2
-    two = spark.createDataFrame([(2, "c", 9)], "d int, v string, w int")
-    got = store.replace_by("t", two, "d")
-    assert sorted(map(tuple, got.collect())) == [(1, "a", None), (2, "c", 9)]
+def test_store(spark, tmp_path):
+    store, part = Store(spark, str(tmp_path)), F.col("d")
+    assert not store.exists("t") and store.read("t", schema="d int").count() == 0
+    store.replace("t", spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "d int, v string"), part)
+    kept = written(store, "t", "1")
+    store.replace("t", spark.createDataFrame([(2, "c", 9)], "d int, v string, w int"), part, ["2", "3"])
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a", None), (2, "c", 9)]
+    assert written(store, "t", "1") == kept and store.parts("t") == ["1", "2"]
     assert [r["v"] for r in store.read("t", ["2"]).collect()] == ["c"]
-    assert store.overwrite("t", one.limit(0)).count() == 0
-    store.vacuum("t", 1)
-    assert store.read("t").count() == 0 and store.parts("t") == ["all"]
+    store.replace("t", store.read("t", ["2"]).withColumn("v", F.lit("again")), part)  # a part may be read and replaced
+    assert [r["v"] for r in store.read("t", ["2"]).collect()] == ["again"]
     with pytest.raises(ValueError):
         store.read("missing")
     assert store.read("t", []).select(F.count("*")).first()[0] == 0
+    empty = spark.createDataFrame([], "a int")
+    assert store.overwrite("whole", empty).columns == ["a"] and store.exists("whole")
+
+
+def test_load_leaves_other_buckets_alone(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = [posting(n, 1) for n in range(120)]
+    drop = lambda some: drops.read_drop(spark, drops.write_drop(frame(spark, some), f"{tmp_path}/d", CFG, "20240101"))
+    assert P.load(spark, store, drop(rows), "2024-01-01 02:00:00") == 120
+    before = {p: written(store, "raw", p) for p in store.parts("raw")}
+    assert len(before) > 10
+    assert P.load(spark, store, drop([posting(7, 2, title="other"), posting(7_000, 2)]), "2024-01-02 02:00:00") == 2
+    changed = {p for p, names in before.items() if written(store, "raw", p) != names}
+    assert 1 <= len(changed) <= 2
+    raw = P.raw_table(store)
+    assert raw.count() == 121 and raw.where("title = 'other'").count() == 1
+    assert raw.where("created_at = timestamp_ntz'2024-01-01 02:00:00'").count() == 120
+
+
+def test_load_of_a_table_with_older_columns_or_none_changed(spark, tmp_path):
+    """Parts that lack a column read as missing there; a drop without news rewrites its own buckets only."""
+    store = Store(spark, str(tmp_path))
+    one = drops.read_drop(spark, drops.write_drop(frame(spark, [posting(1, 1)]), f"{tmp_path}/d", CFG, "20240101"))
+    P.load(spark, store, one, "2024-01-01 02:00:00")
+    part, = store.parts("raw")
+    old = P.raw_table(store).drop("tags")
+    old.write.mode("overwrite").parquet(f"{tmp_path}/old")
+    spark.read.parquet(f"{tmp_path}/old").write.mode("overwrite").parquet(f"{store.path('raw')}/part={part}")
+    assert P.raw_table(store).first()["tags"] is None
+    assert P.load(spark, store, one, "2024-01-02 02:00:00") == 1
+    assert P.raw_table(store).first()["tags"] == "SQL; Spark"
+    assert P.load(spark, store, one, "2024-01-03 02:00:00") == 0
+
+
+def test_duplicates_of_a_stored_table_stop_the_write_and_go(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    drop = lambda some: drops.read_drop(spark, drops.write_drop(frame(spark, some), f"{tmp_path}/d", CFG, "20240101"))
+    P.load(spark, store, drop([posting(n, 1) for n in range(40)]), "2024-01-01 02:00:00")
+    P.raw_table(store).withColumn("crawled_at", F.expr("crawled_at - interval 1 day")).withColumn(
+        "part", P.bucket("job_url", CFG.buckets)).write.mode("append").partitionBy("part").parquet(store.path("raw"))
+    assert P.raw_table(store).count() == 80
+    assert P.load(spark, store, drop([posting(n, 2) for n in range(40)]), "2024-01-02 02:00:00") == 40
+    raw = P.raw_table(store)
+    assert raw.count() == 40 and raw.select("job_url").distinct().count() == 40
+
+
+def test_history_rewrites_changed_buckets_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    at = lambda day: F.lit(f"2024-01-0{day} 01:00:00").cast("timestamp_ntz")
+    source = lambda day, ids, news: spark.range(ids).where("id <> 5" if day > 1 else "true").select(
+        F.col("id").cast("string").alias("k"), F.when(F.col("id").isin(*news), at(day)).otherwise(at(1)).alias("updated_at"),
+        F.lit(day).alias("v"))
+    run = lambda day, *some: P._snapshot(spark, store, "h", source(day, *some), "k", f"2024-01-0{day} 03:00:00", 16)
+    assert run(1, 200, [999]).count() == 200
+    before = {p: written(store, "h", p) for p in store.parts("h")}
+    history = run(2, 201, [7])  # 5 goes, 7 changes, 200 is new
+    changed = {p for p, names in before.items() if written(store, "h", p) != names}
+    assert 1 <= len(changed) <= 3 and history.count() == 202
+    assert sorted(r["k"] for r in history.where("dbt_valid_to is not null").collect()) == ["5", "7"]
+    again = {p: written(store, "h", p) for p in store.parts("h")}
+    assert run(2, 201, [7]).count() == 202 and {p: written(store, "h", p) for p in store.parts("h")} == again
