@@ -47,7 +47,7 @@ _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 class Shingles:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
-    def __init__(self, words: int, limit: int = 400_000) -> None:
+    def __init__(self, words: int, limit: int = 100_000) -> None:
         self.words, self.limit, self.known = words, limit, {}
 
     def of(self, text: str) -> np.ndarray:

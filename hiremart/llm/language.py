@@ -5,8 +5,8 @@ end standing for a word border. Each gram is hashed to one of 2**BITS embeddings
 through a linear softmax. Embeddings and softmax are trained together by stochastic gradient descent
 in numpy, on whole documents and random short stretches of them, so that short texts are told apart as well.
 They come from a bounded sample: about ``TRAIN_ROWS`` documents drawn by a hash of their ids, a language's share
-raised to LANGUAGE_ROWS if it has fewer, read whole in the order of that hash until their bags fill ``TRAIN_BYTES``. One
-task bags and fits; no text comes to the driver.
+raised to LANGUAGE_ROWS if it has fewer, read whole and bagged where they are, taken in the order of that hash until their
+bags fill ``TRAIN_BYTES``. One task fits; neither texts nor bags come to the driver.
 
 A fifth of the sample is held back. It sets the temperature (least log loss) and, with foreign text, the rejection: a text
 is accepted by how familiar it is, its largest logit. Models fitted without some of the languages show how familiar text of an unlearned
@@ -20,6 +20,8 @@ Without training rows every text is. Repeated rows are predicted each.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -147,19 +149,24 @@ def foreign_ratio(rows: list, langs: list[str], held: list, held_langs: list[str
     return float(np.quantile(logits_of(table, bias, foreign).max(1), FOREIGN_SHARE) / middle) if middle > 0 else None
 
 
-def fit(rows: Iterable[tuple[str, str]], most: int = TRAIN_BYTES, seed: int = 5) -> Model:
-    """Train on four fifths of the (text, language) rows, calibrate on the rest; ``most`` bounds the bytes of their bags."""
+def bags(text: str) -> bytes:
+    """What training needs of a text: its bag, one of a stretch for each epoch, and whether it has letters."""
+    rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    return pickle.dumps([any(map(str.isalpha, text)), bag(text), *[stretch(text, rng) for _ in range(EPOCHS)]])
+
+
+def fit(rows: Iterable[tuple[bytes, str]], most: int = TRAIN_BYTES, seed: int = 5) -> Model:
+    """Train on four fifths of the (bags, language) rows, calibrate on the rest; ``most`` bounds the bytes of the bags."""
     rng, used, langs, held, held_langs, size = np.random.default_rng(seed), [], [], [], [], 0
-    for at, (text, lang) in enumerate(rows):
-        whole = bag(text)
-        if at % 5 == 4:
-            if whole and any(map(str.isalpha, text)):
-                held.append(whole)
-                held_langs.append(lang)
-        else:
-            used.append([whole, *[stretch(text, rng) for _ in range(EPOCHS)]])
+    for at, (packed, lang) in enumerate(rows):
+        lettered, *found = pickle.loads(packed)
+        if at % 5 < 4:
+            used.append(found)
             langs.append(lang)
-        size += len(whole[0]) * 6 if whole else 0
+        elif lettered and found[0]:
+            held.append(found[0])
+            held_langs.append(lang)
+        size += len(packed)
         if size >= most:
             break
     languages = sorted(set(langs))
@@ -192,8 +199,9 @@ def train(docs: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Mode
     parts = [v for lang, n in counts.items() if LANGUAGE_ROWS > whole * n for v in (F.lit(lang), F.lit(int(min(1, LANGUAGE_ROWS / n) * steps)))]
     share = F.coalesce(F.element_at(F.create_map(*parts), F.col("lang")), F.lit(int(min(1, whole) * steps))) if parts else F.lit(int(min(1, whole) * steps))
     drawn = known.select("doc_id", "text", "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < share)
-    return made_in_task(drawn, [F.xxhash64("doc_id"), F.xxhash64("text"), F.col("doc_id")], lambda blocks: fit(
-        row for b in blocks for row in zip(b["text"], b["lang"])))
+    bagged = add_columns(drawn, ["doc_id", "lang"], F.col("text"), lambda texts: [(bags(t),) for t in texts], "bags binary")
+    return made_in_task(bagged, [F.xxhash64("doc_id"), F.xxhash64("bags"), F.col("doc_id")], lambda blocks: fit(
+        row for b in blocks for row in zip(b["bags"], b["lang"])))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None,

@@ -6,8 +6,8 @@ coordinate, L1 leaves most weights at exactly zero), so the fitted model is a sh
 coordinates and weights that is broadcast, at most 2**BITS of them (8 MB). Scoring reads the whole text.
 
 Training reads the whole texts of a bounded sample of labelled documents: about ``train_rows``, drawn by a hash of their ids,
-in the order of that hash and until their coordinates fill ``TRAIN_BYTES``. One task hashes and fits; no text comes to the
-driver. Rows with a null label or text are left out, equal ids count once with their highest label. Null and empty texts get the score
+hashed where they are, in the order of that hash and until their coordinates fill ``TRAIN_BYTES``. One task fits;
+neither texts nor coordinates come to the driver. Rows with a null label or text are left out, equal ids count once with their highest label. Null and empty texts get the score
 of the bias. Without any label the score is EMPTY_SCORE. Repeated rows are scored each.
 """
 
@@ -31,7 +31,7 @@ _A, _B, _C = (np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 class Words:
     """Hashes of words, lower-cased and without punctuation at their ends; kept up to a limit."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 100_000) -> None:
         self.limit, self.known = limit, {}
 
     def hashes(self, text: str) -> np.ndarray:
@@ -98,26 +98,32 @@ def fit_sets(sets: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta
     return Model(at.astype(np.uint32), w[at].astype(np.float32), bias)
 
 
-def fit(rows: Iterable[tuple[str, int]], most: int = TRAIN_BYTES, **settings) -> Model:
-    """Fit to (text, label) rows, as many as fit ``most`` bytes of coordinates."""
-    words, sets, labels, size = Words(), [], [], 0
-    for text, label in rows:
-        sets.append(np.unique(words.coordinates(text)))
+def fit(rows: Iterable[tuple[bytes, int]], most: int = TRAIN_BYTES, **settings) -> Model:
+    """Fit to (coordinates, label) rows, as many as fit ``most`` bytes of coordinates."""
+    sets, labels, size = [], [], 0
+    for coordinates, label in rows:
+        sets.append(np.frombuffer(coordinates, np.uint32))
         labels.append(int(label > 0))
-        size += sets[-1].nbytes
+        size += len(coordinates)
         if size >= most:
             break
     return fit_sets(sets, labels, **settings)
 
 
+def distinct(text: str) -> bytes:
+    """The distinct coordinates of a text."""
+    return np.unique(_WORDS.coordinates(text)).tobytes()
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on about ``train_rows`` labelled documents at most; ``usable`` says which ids may be used."""
     known = labels.where(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = bounded_share(known, ["doc_id"], train_rows)  # bounded, so it can be broadcast
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id")
-    return made_in_task(rows, [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")], lambda blocks: fit(
-        row for b in blocks for row in zip(b["text"], b["toxic"])))
+    hashed = add_columns(rows, ["doc_id", "toxic"], F.col("text"), lambda texts: [(distinct(t),) for t in texts], "at binary")
+    return made_in_task(hashed, [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("at")], lambda blocks: fit(
+        row for b in blocks for row in zip(b["at"], b["toxic"])))
 
 
 _WORDS = Words()
