@@ -45,6 +45,28 @@ def foreign_keys(df: DataFrame, parents: dict[str, tuple[DataFrame, str]]) -> Da
     return orphans.select(F.inline(rows))
 
 
+def uniqueness(df: DataFrame, columns: list[str], combinations: list[list[str]]) -> DataFrame:
+    """Repeated values of ``columns`` (missing ones left out) and of column combinations (missing ones equal).
+
+    A row gives one (check, key) pair for each check. All pairs go through one scan and one shuffle, pre-aggregated,
+    so a dominant key costs one row a task. A key is written as the lengths and texts of its values, which keeps it apart
+    from any other.
+    """
+    def key(parts: list[str]) -> Column:
+        texts = [F.col(c).cast("string") for c in parts]
+        return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+    checks = [("unique", c, F.when(F.col(c).isNotNull(), key([c]))) for c in columns]
+    checks += [("unique_combination", "+".join(c), key(list(c))) for c in combinations]
+    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), k.alias("_k")) for i, (_, _, k) in enumerate(checks)])
+    repeated = df.select(F.inline(pairs)).where(F.col("_k").isNotNull()).groupBy("_c", "_k").agg(
+        F.count("*").alias("_n")).where("_n > 1")
+    sums = repeated.agg(*[F.count_if(F.col("_c") == i).alias(f"_{i}") for i in range(len(checks))])
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(column).alias("column_name"),
+                              F.col(f"_{i}").alias("n_violations")) for i, (check, column, _) in enumerate(checks)])
+    return sums.select(F.inline(rows))
+
+
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """Missing values of several columns, counted in one scan."""
     sums = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -335,21 +335,32 @@ _COMPANY_DAY = """(SELECT * FROM (SELECT *, row_number() OVER (
     PARTITION BY company_bk, snapshot_ts ORDER BY job_bk) AS rn FROM stg) WHERE rn = 1)"""
 
 
-def _suite() -> str:
-    """All declared checks, one SELECT each."""
+def _suite(damaged: bool = False) -> str:
+    """All declared checks, one SELECT each; ``damaged``: over tables with bad rows added."""
     source = {
         "stg_postings": "stg", "int_job_snapshot_events":
         "(SELECT *, date_id AS snapshot_date_id FROM ev)", "int_job_tags": "tags",
         "int_job_locations": "locs", "int_company_snapshot_source": "com_src",
         "int_job_snapshot_source": "job_src"}
-    out = []
+    out, sound = [], lambda table: source.get(table, table)
+
+    def relation(table: str) -> str:
+        if not damaged:
+            return sound(table)
+        checks, rel = K.ALL[table], sound(table)
+        rows = lambda digit: f"FROM {rel} WHERE CAST({checks.not_null[0]} AS VARCHAR) LIKE '%{digit}%'"
+        parts = [f"SELECT * FROM {rel}", f"SELECT * {rows(1)}",
+                 f"SELECT * REPLACE ({', '.join(f'NULL AS {c}' for c in checks.not_null)}) {rows(2)}"]
+        if checks.relationships:
+            parts.append(f"SELECT * REPLACE ({', '.join(f'-1 - {c} AS {c}' for c in checks.relationships)}) {rows(3)}")
+        return f"({' UNION ALL '.join(parts)})"
 
     def add(table: str, check: str, column: str, count: str) -> None:
         out.append(f"SELECT '{table}' AS table_name, '{check}' AS check, '{column}' AS column_name, "
                    f"CAST(({count}) AS BIGINT) AS n_violations")
 
     for table, checks in K.ALL.items():
-        rel = source.get(table, table)
+        rel = relation(table)
         for c in checks.not_null:
             add(table, "not_null", c, f"SELECT count(*) FROM {rel} WHERE {c} IS NULL")
         for c in checks.unique:
@@ -360,7 +371,7 @@ def _suite() -> str:
             add(table, "unique_combination", "+".join(checks.combination),
                 f"SELECT count(*) FROM (SELECT {cols} FROM {rel} GROUP BY {cols} HAVING count(*) > 1)")
         for c, (parent, field) in checks.relationships.items():
-            add(table, "relationships", c, f"SELECT count(*) FROM {rel} x LEFT JOIN {parent} y "
+            add(table, "relationships", c, f"SELECT count(*) FROM {rel} x LEFT JOIN {relation(parent)} y "
                 f"ON x.{c} = y.{field} WHERE x.{c} IS NOT NULL AND y.{field} IS NULL")
         if checks.expression:
             add(table, "expression_is_true", checks.expression,
@@ -529,6 +540,36 @@ def oracle_sql() -> dict[str, str]:
         "bridge_job_tags": _model("SELECT * FROM bridge_job_tags"),
         "fct_full": _model(_FACT),
         "fct_incremental": _model(_FACT),
+        "fct_incremental_stale": _model(f"""
+            SELECT job_bk, {_ts("snapshot_ts")}, date_id,
+              CAST(CASE WHEN job_bk LIKE 'a%' AND day(snapshot_ts) < 4 THEN 1 ELSE salary_avg END AS DOUBLE) AS salary_avg FROM ev"""),
+        "stored_days": _model(f"""
+            , two AS (SELECT * FROM ev WHERE day(snapshot_ts) <= 2),
+            seen AS (SELECT job_bk, max(snapshot_ts) AS last, count(*) AS n FROM two GROUP BY job_bk),
+            place AS (SELECT job_bk, snapshot_ts, min(location_name_norm) AS code FROM locs GROUP BY ALL)
+            SELECT e.job_bk, {_ts("e.snapshot_ts", "snapshot_ts")}, e.date_id, CAST(e.salary_avg AS DOUBLE) AS salary_avg,
+              e.snapshot_hash, e.job_bk AS external_job_id, n.title, {_ts("s.last", "dbt_valid_from")},
+              s.n AS n_versions, s.n - 1 AS n_closed, p.code AS location_code
+            FROM two e JOIN seen s USING (job_bk) JOIN two n ON n.job_bk = s.job_bk AND n.snapshot_ts = s.last
+            LEFT JOIN place p ON p.job_bk = e.job_bk AND p.snapshot_ts = e.snapshot_ts"""),
+        "stored_load": _raw(f"""
+            , two AS (SELECT *, trim(job_url, ' ') AS link FROM raw WHERE trim(job_url, ' ') <> '' AND day(crawled_at) <= 2)
+            SELECT link AS job_url, title, salary, tags, {_ts("crawled_at")},
+              CASE WHEN min(crawled_at) OVER (PARTITION BY link) < DATE '2024-01-02' THEN '2024-01-01 02:00:00'
+                ELSE '2024-01-02 02:00:00' END AS created_at
+            FROM two QUALIFY row_number() OVER (PARTITION BY link ORDER BY crawled_at DESC) = 1"""),
+        "salary_failed_texts": _raw("""
+            SELECT 'salary_parse_failed' AS "check", 'salary' AS column_name, count(*) AS n_violations FROM raw
+            WHERE job_url LIKE '%3.html%' OR job_url LIKE '%5.html%'"""),
+        "dq_suite_damaged": _model(_suite(damaged=True)),
+        "report_hotspots_cities": _model("""
+            , place AS (SELECT job_bk, list_extract(
+                ['TP. Hồ Chí Minh', 'Hà Nội', 'Đà Nẵng', 'Cần Thơ', 'Bình Dương', 'Đồng Nai', 'Hải Phòng', 'Bắc Ninh', 'Bà Rịa - Vũng Tàu',
+                 'Thái Nguyên', 'Thừa Thiên Huế', 'Remote (Làm việc từ xa)', 'Remote (Làm việc từ xa)', 'Các tỉnh thành khác'],
+                CAST(regexp_extract(job_url, '/x/([0-9]+)', 1) AS BIGINT) % 14 + 1) AS city
+              FROM ev WHERE date_id = (SELECT max(date_id) FROM ev)),
+            g AS (SELECT city, count(DISTINCT job_bk) AS n FROM place GROUP BY city)
+            SELECT city, n AS job_count, """ + _share("n", "(SELECT sum(n) FROM g)") + """ AS market_share_percent FROM g"""),
         "late_rows": _model(
             "SELECT date_id, count(*) AS n_late FROM ev WHERE day(snapshot_ts) < 3 GROUP BY date_id"),
         "report_keywords": _model(f"""

@@ -1,6 +1,6 @@
 """The declared checks of every layer and how they run.
 
-Row checks of a table share one scan, its foreign keys one shuffle; uniqueness is a grouped pass each.
+Row checks of a table share one scan, its foreign keys one shuffle, its uniqueness checks another.
 """
 
 from __future__ import annotations
@@ -81,9 +81,8 @@ def table_report(name: str, checks: Checks, tables) -> DataFrame:
     if checks.not_null or checks.expression:
         done.append(Q.row_checks(df, list(checks.not_null), {
             e: F.expr(e) for e in [checks.expression] if e}))
-    done += [Q.unique(df, c) for c in checks.unique]
-    if checks.combination:
-        done.append(Q.unique_combination(df, list(checks.combination)))
+    if checks.unique or checks.combination:
+        done.append(Q.uniqueness(df, list(checks.unique), [list(checks.combination)] if checks.combination else []))
     if checks.relationships:
         done.append(Q.foreign_keys(df, {
             column: (tables(parent), key) for column, (parent, key) in checks.relationships.items()}))

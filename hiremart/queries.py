@@ -20,12 +20,13 @@ from hiremart.operators.aggregate import with_share
 from hiremart.operators.dedup import latest_per_key, purge_duplicates
 from hiremart.operators.scd2 import open_versions, scd2_merge
 from hiremart.operators.upsert import upsert
-from hiremart.plans import checks as K, intermediate as I, marts as M, reports as R
+from hiremart.plans import checks as K, intermediate as I, marts as M, pipeline, reports as R
 from hiremart.plans.staging import GRAIN, salary_failures, stg_postings
 from hiremart.sources import drops
 from hiremart.sources.fixture import postings, read
 from hiremart.sources.fixture_pages import company_pages, detail_pages, listing_pages
 from hiremart.sources.scratch import Scratch
+from hiremart.sources.store import Store, bucket
 from hiremart.streaming import incremental as INC
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,14 @@ def salary_failed(spark, sf_dir):
     return salary_failures(postings(spark, sf_dir), CFG)
 
 
+@query
+def salary_failed_texts(spark, sf_dir):
+    """Failures among salaries of which some are too large and some malformed."""
+    link = F.col("job_url")
+    texts = F.when(link.contains("3.html"), "1234567890123456789012 triệu").when(link.contains("5.html"), "1.2.3 triệu")
+    return salary_failures(postings(spark, sf_dir).withColumn("salary", texts.otherwise(F.col("salary"))), CFG)
+
+
 @query
 def event_shape(spark, sf_dir):
     return _events(spark, sf_dir).select(
@@ -218,6 +227,42 @@ def csv_round_trip(spark, sf_dir):
         F.col("crawled_at").try_cast("timestamp_ntz").alias("crawled_at"))
 
 
+def _stored(spark: SparkSession, sf_dir: str, days: tuple[int, ...], store: Store, transform: bool) -> None:
+    """The daily run over the drops of some days, as a scheduler would start it."""
+    raw, folder = postings(spark, sf_dir).where(F.trim("job_url") != ""), store.path("drops")
+    for day in days:
+        drops.write_drop(_day(raw, "crawled_at", day), folder, CFG, f"2024010{day}")
+        pipeline.ingest(spark, CFG, store, folder, f"2024-01-0{day} 02:00:00", run_date=f"2024010{day}")
+        if transform:
+            pipeline.transform(spark, CFG, store, f"2024-01-0{day} 03:00:00", strict=False)
+
+
+@query
+def stored_days(spark, sf_dir):
+    """Two daily runs over stored tables: facts of both days with today's job version and place, and their job's versions."""
+    store = Store(spark, Scratch(spark).path("store"))
+    _stored(spark, sf_dir, (1, 2), store, transform=True)
+    jobs, places = store.read("dim_job"), store.read("dim_location")
+    versions = store.read("snap_dim_job").groupBy(F.col("job_bk").alias("external_job_id")).agg(
+        F.count("*").alias("n_versions"), F.count("dbt_valid_to").alias("n_closed"))
+    today = jobs.join(versions, "external_job_id").select("job_sk", "external_job_id", "title", "dbt_valid_from", "n_versions", "n_closed")
+    return pipeline.serving_fact(store).join(today, "job_sk", "left").join(
+        places.select("location_id", "location_code"), "location_id", "left").select(
+        "job_bk", "snapshot_ts", "date_id", "salary_avg", "snapshot_hash", "external_job_id", "title", "dbt_valid_from",
+        "n_versions", "n_closed", "location_code")
+
+
+@query
+def stored_load(spark, sf_dir):
+    """A stored raw table that holds rows twice, the older ones stale, after the load of the next day."""
+    store = Store(spark, Scratch(spark).path("store"))
+    _stored(spark, sf_dir, (1,), store, transform=False)
+    stale = pipeline.raw_table(store).withColumns({"crawled_at": F.expr("crawled_at - interval 1 hour"), "salary": F.lit("stale")})
+    stale.withColumn("part", bucket("job_url", CFG.buckets)).write.mode("append").partitionBy("part").parquet(store.path("raw"))
+    _stored(spark, sf_dir, (2,), store, transform=False)
+    return pipeline.raw_table(store).select("job_url", "title", "salary", "tags", "crawled_at", "created_at")
+
+
 @query
 def dq_raw_gate(spark, sf_dir):
     return Q.raw_gate(postings(spark, sf_dir), REQUIRED_COLUMNS, "job_url")
@@ -333,6 +378,17 @@ def fct_incremental(spark, sf_dir):
     return M.fct_job_snapshot(merged, mart.dim_job, mart.dim_company, mart.dim_location)
 
 
+@query
+def fct_incremental_stale(spark, sf_dir):
+    """An incremental run over a stored state of which some rows are stale: those at the mark heal, older ones stay."""
+    state = M.fact_state(_events(spark, sf_dir), CFG)
+    stale = F.when(F.col("job_bk").startswith("a"), F.lit(1).cast(state.schema["salary_avg"].dataType)).otherwise(F.col("salary_avg"))
+    stored = _day(state, "snapshot_ts", 1, 4).withColumn("salary_avg", stale)
+    mark = INC.high_water_mark(stored, "snapshot_ts")
+    merged = INC.delete_insert(stored, INC.on_or_after(state, "snapshot_ts", mark), GRAIN)
+    return merged.select("job_bk", "snapshot_ts", "date_id", "salary_avg")
+
+
 @query
 def late_rows(spark, sf_dir):
     """Events an incremental run skips when the state holds the third day only."""
@@ -363,6 +419,16 @@ def report_hotspots(spark, sf_dir):
     return R.hotspots_by_location(m.fct_job_snapshot, m.dim_location)
 
 
+@query
+def report_hotspots_cities(spark, sf_dir):
+    """The same over places of every label."""
+    places = ["Hồ Chí Minh; quận 1", "ha noi", "Đà Nẵng", "can tho", "Bình Dương", "dong nai", "Hải Phòng", "bac ninh", "TP Vũng Tàu",
+              "thai nguyen", "Huế", "Remote", "từ xa", "Nha Trang"]
+    number = F.regexp_extract("job_url", "/x/([0-9]+)", 1).try_cast("int") % len(places)
+    m = M.Mart(postings(spark, sf_dir).withColumn("working_addresses", F.get(F.array(*map(F.lit, places)), number)), CFG)
+    return R.hotspots_by_location(m.fct_job_snapshot, m.dim_location)
+
+
 @query
 def report_company_size(spark, sf_dir):
     m = _mart(spark, sf_dir)
@@ -419,10 +485,8 @@ def dq_freshness(spark, sf_dir):
         postings(spark, sf_dir), "crawled_at", _ts(AS_OF), CFG.warn_hours, CFG.error_hours)
 
 
-@query
-def dq_suite(spark, sf_dir):
-    """Every declared check over a full build."""
-    scratch = Scratch(spark)
+def _tables(spark: SparkSession, sf_dir: str, scratch: Scratch) -> Callable[[str], DataFrame]:
+    """The tables of a full build by name; those that cost most are written once."""
     raw = postings(spark, sf_dir)
     mart = M.Mart(raw, CFG, scratch)
     attr = {
@@ -440,6 +504,31 @@ def dq_suite(spark, sf_dir):
             staged[name] = scratch.stage(built) if once else built
         return staged[name]
 
+    return table
+
+
+@query
+def dq_suite(spark, sf_dir):
+    """Every declared check over a full build."""
+    return K.report(K.ALL, _tables(spark, sf_dir, Scratch(spark)))
+
+
+@query
+def dq_suite_damaged(spark, sf_dir):
+    """Every declared check over tables with repeated rows, rows without required values and rows without parents."""
+    scratch = Scratch(spark)
+    sound, damaged = _tables(spark, sf_dir, scratch), {}
+
+    def table(name: str) -> DataFrame:
+        if name not in damaged:
+            df, checks = sound(name), K.ALL[name]
+            key = F.col(checks.not_null[0]).cast("string")
+            none = {c: F.lit(None).cast(df.schema[c].dataType) for c in checks.not_null}
+            astray = {c: (-1 - F.col(c)).cast(df.schema[c].dataType) for c in checks.relationships}
+            df = df.unionByName(df.where(key.contains("1"))).unionByName(df.where(key.contains("2")).withColumns(none))
+            damaged[name] = scratch.stage(df.unionByName(sound(name).where(key.contains("3")).withColumns(astray)) if astray else df)
+        return damaged[name]
+
     return K.report(K.ALL, table)
 
 
