@@ -552,6 +552,24 @@ def oracle_sql() -> dict[str, str]:
               s.n AS n_versions, s.n - 1 AS n_closed, p.code AS location_code
             FROM two e JOIN seen s USING (job_bk) JOIN two n ON n.job_bk = s.job_bk AND n.snapshot_ts = s.last
             LEFT JOIN place p ON p.job_bk = e.job_bk AND p.snapshot_ts = e.snapshot_ts"""),
+        "stored_checks": _model(f"""
+            , bad AS (SELECT count(*) AS n FROM ev WHERE day(snapshot_ts) = 3 AND salary_min > salary_max)
+            SELECT 'error' AS finding UNION ALL SELECT 'late 0' UNION ALL SELECT 'salary 0'
+            UNION ALL SELECT 'fct_job_snapshot expression_is_true salary_min is null or salary_max is null or salary_min <= salary_max ' || n
+            FROM bad WHERE n > 0"""),
+        "published_marts": _model(f"""
+            , one AS (SELECT * FROM ev WHERE day(snapshot_ts) = 1),
+            place AS (SELECT job_bk, snapshot_ts, min(location_name_norm) AS code FROM locs GROUP BY ALL)
+            SELECT strftime(snapshot_ts, '%Y-%m-%d') AS date_day, {_initcap("p.code")} AS location_name, t.tag_name_norm AS tag_name,
+              count(*) AS n_facts, count(DISTINCT e.company_bk) AS n_companies
+            FROM one e JOIN place p USING (job_bk, snapshot_ts) JOIN tags t USING (job_bk, snapshot_ts) GROUP BY ALL"""),
+        "upsert_new_columns": _raw(f"""
+            , keyed AS (SELECT * REPLACE (trim(job_url, ' ') AS job_url) FROM raw WHERE trim(job_url, ' ') <> ''),
+            spans AS (SELECT job_url, min(crawled_at) AS born, max(crawled_at) AS seen FROM keyed GROUP BY job_url)
+            SELECT b.job_url, b.title, CASE WHEN day(seen) = 5 THEN b.tags END AS tags,
+              CASE WHEN day(seen) = 5 THEN b.company_size END AS company_size, {_ts('b.crawled_at', 'crawled_at')},
+              CASE WHEN day(born) = 5 THEN '2024-01-05 02:00:00' ELSE '2024-01-04 02:00:00' END AS created_at
+            FROM keyed b JOIN spans s ON s.job_url = b.job_url AND s.seen = b.crawled_at"""),
         "stored_load": _raw(f"""
             , two AS (SELECT *, trim(job_url, ' ') AS link FROM raw WHERE trim(job_url, ' ') <> '' AND day(crawled_at) <= 2)
             SELECT link AS job_url, title, salary, tags, {_ts("crawled_at")},

@@ -263,6 +263,41 @@ def stored_load(spark, sf_dir):
     return pipeline.raw_table(store).select("job_url", "title", "salary", "tags", "crawled_at", "created_at")
 
 
+@query
+def stored_checks(spark, sf_dir):
+    """What the layers' checks find in a stored run that does not stop at them."""
+    store, folder = Store(spark, Scratch(spark).path("store")), Scratch(spark).path("drops")
+    drops.write_drop(_day(postings(spark, sf_dir), "crawled_at", 3).where(F.trim("job_url") != ""), folder, CFG, "20240103")
+    pipeline.ingest(spark, CFG, store, folder, "2024-01-03 02:00:00", run_date="20240103")
+    outcome = pipeline.transform(spark, CFG, store, "2024-01-05 03:00:00", strict=False)
+    found = [outcome.freshness, f"late {outcome.late_rows}", f"salary {outcome.salary_failures}", *outcome.failed_checks]
+    return spark.createDataFrame([(line,) for line in found], "finding string")  # a line for each declared check at most
+
+
+@query
+def published_marts(spark, sf_dir):
+    """SQL over the views of a stored day's marts."""
+    store = Store(spark, Scratch(spark).path("store"))
+    _stored(spark, sf_dir, (1,), store, transform=True)
+    pipeline.publish(spark, store)
+    return spark.sql("""
+        select d.date_day, l.location_name, t.tag_name, count(*) as n_facts, count(distinct c.company_id) as n_companies
+        from fct_job_snapshot f join dim_date d using (date_id) join dim_location l using (location_id)
+        join dim_company c using (company_sk) join bridge_job_tags b using (job_sk) join dim_tag t using (tag_id)
+        group by all""")
+
+
+@query
+def upsert_new_columns(spark, sf_dir):
+    """A load into a table that lacks two of the columns."""
+    raw = postings(spark, sf_dir).withColumn("job_url", F.trim("job_url")).where("job_url <> ''")
+    older = latest_per_key(_day(raw, "crawled_at", 1, 4), ["job_url"], "crawled_at").drop("tags", "company_size")
+    batch = latest_per_key(_day(raw, "crawled_at", 5), ["job_url"], "crawled_at")
+    merged = upsert(older.withColumn("created_at", _ts("2024-01-04 02:00:00")), batch, "job_url", UPDATE_COLUMNS, "crawled_at",
+                    "created_at", _ts("2024-01-05 02:00:00"))
+    return merged.select("job_url", "title", "tags", "company_size", "crawled_at", "created_at")
+
+
 @query
 def dq_raw_gate(spark, sf_dir):
     return Q.raw_gate(postings(spark, sf_dir), REQUIRED_COLUMNS, "job_url")
