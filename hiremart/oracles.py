@@ -7,10 +7,11 @@ decimals as double, dates and times as text.
 
 from __future__ import annotations
 
-from hiremart.config import (
-    CITY_LABELS, CITY_OTHER, EXPERIENCE_EXCLUDED, EXPERIENCE_ORDER, EXPERIENCE_OTHER,
-    POSTING_COLUMNS, SIZE_BUCKETS, SIZE_OTHER, UPDATE_COLUMNS)
-from hiremart.plans import checks as K
+# Nothing here comes from the code under test: lists and rules are written out again, so that a change there shows.
+POSTING_COLUMNS = """title job_url company_url salary location experience deadline tags desc_mota desc_yeucau desc_quyenloi
+    working_addresses working_times company_name_full company_website company_size company_followers company_industry
+    company_address crawled_at company_description""".split()
+UPDATE_COLUMNS = [c for c in POSTING_COLUMNS if c not in ("job_url", "crawled_at")]
 
 _ATTRS = ["title", "job_url", "experience_raw", "desc_mota", "desc_yeucau", "desc_quyenloi",
           "working_addresses_raw", "working_times"]
@@ -308,11 +309,42 @@ def _case(column: str, rules: list[tuple], default) -> str:
     return f"CASE{arms} ELSE {lit(default)} END"
 
 
-_CITY = _case("l.location_name", CITY_LABELS, CITY_OTHER)
-_SIZE = _case("c.company_size", [(a, n) for a, _, n in SIZE_BUCKETS], SIZE_OTHER[0])
-_SIZE_NO = _case("c.company_size", [(i, n) for _, i, n in SIZE_BUCKETS], SIZE_OTHER[1])
-_EXP_NO = _case("experience", [(i, (n,)) for i, n in EXPERIENCE_ORDER], EXPERIENCE_OTHER)
-_EXCLUDED = ", ".join(f"'{e}'" for e in EXPERIENCE_EXCLUDED)
+_CITY = _case("l.location_name", [
+    ("TP. Hồ Chí Minh", ["hồ chí minh", "ho chi minh"]), ("Hà Nội", ["hà nội", "ha noi"]), ("Đà Nẵng", ["đà nẵng", "da nang"]),
+    ("Cần Thơ", ["cần thơ", "can tho"]), ("Bình Dương", ["bình dương", "binh duong"]), ("Đồng Nai", ["đồng nai", "dong nai"]),
+    ("Hải Phòng", ["hải phòng", "hai phong"]), ("Bắc Ninh", ["bắc ninh", "bac ninh"]), ("Bà Rịa - Vũng Tàu", ["vũng tàu", "vung tau"]),
+    ("Thái Nguyên", ["thái nguyên", "thai nguyen"]), ("Thừa Thiên Huế", ["huế", "hue"]),
+    ("Remote (Làm việc từ xa)", ["remote", "từ xa"])], "Các tỉnh thành khác")
+_SIZES = [("1-9 nhân viên", 1, ["1-9"]), ("10-24 nhân viên", 2, ["10-24"]), ("25-99 nhân viên", 3, ["25-99"]),
+          ("100-499 nhân viên", 4, ["100-499"]), ("500-1000 nhân viên", 5, ["500-1000"]),
+          ("1000+ nhân viên", 6, ["1000+", "3000+", "5000+", "10000+"])]
+_SIZE = _case("c.company_size", [(a, n) for a, _, n in _SIZES], "Unknown")
+_SIZE_NO = _case("c.company_size", [(i, n) for _, i, n in _SIZES], 99)
+_EXP_NO = _case("experience", [(1, ["dưới 1 năm"]), (2, ["1 năm"]), (3, ["2 năm"]), (4, ["3 năm"]), (5, ["4 năm"]), (6, ["5 năm"])], 99)
+_EXCLUDED = "'thỏa thuận', 'negotiable', 'không yêu cầu'"
+#: The declared checks: columns not null; unique; unique together; parents; expression.
+_CHECKS = {
+    "raw": ("job_url crawled_at", "", "", {}, None),
+    "stg_postings": ("job_bk company_bk job_url snapshot_ts source_id", "", "job_bk snapshot_ts", {}, None),
+    "int_job_snapshot_events": ("job_bk snapshot_ts snapshot_date_id", "", "job_bk snapshot_ts", {}, None),
+    "int_job_tags": ("tag_name_norm", "", "job_bk snapshot_ts tag_name_norm", {}, None),
+    "int_job_locations": ("location_name_norm", "", "job_bk snapshot_ts location_name_norm", {}, None),
+    "int_company_snapshot_source": ("company_bk updated_at", "company_bk", "", {}, None),
+    "int_job_snapshot_source": ("job_bk updated_at", "job_bk", "", {}, None),
+    "snap_dim_company": ("company_bk dbt_scd_id dbt_valid_from", "dbt_scd_id", "", {}, None),
+    "snap_dim_job": ("job_bk dbt_scd_id dbt_valid_from", "dbt_scd_id", "", {}, None),
+    "dim_source": ("source_id source_name", "source_id", "", {}, None),
+    "dim_company": ("company_sk dbt_scd_id company_id", "company_sk dbt_scd_id", "", {}, None),
+    "dim_job": ("job_sk dbt_scd_id external_job_id source_id", "job_sk dbt_scd_id", "", {"source_id": "dim_source.source_id"}, None),
+    "dim_date": ("date_id date_day", "date_id", "", {}, None),
+    "dim_location": ("location_id location_code", "location_id location_code", "", {}, None),
+    "dim_tag": ("tag_id tag_name", "tag_id tag_name", "", {}, None),
+    "bridge_job_tags": ("job_sk tag_id", "", "job_sk tag_id", {"job_sk": "dim_job.job_sk", "tag_id": "dim_tag.tag_id"}, None),
+    "fct_job_snapshot": ("job_bk snapshot_ts job_sk date_id", "", "job_bk snapshot_ts", {
+        "job_sk": "dim_job.job_sk", "company_sk": "dim_company.company_sk", "location_id": "dim_location.location_id",
+        "date_id": "dim_date.date_id", "deadline_date_id": "dim_date.date_id"},
+        "salary_min is null or salary_max is null or salary_min <= salary_max"),
+}
 
 
 def _history(key: str, source: str, columns: list[str], last: int) -> str:
@@ -347,36 +379,35 @@ def _suite(damaged: bool = False) -> str:
     def relation(table: str) -> str:
         if not damaged:
             return sound(table)
-        checks, rel = K.ALL[table], sound(table)
-        rows = lambda digit: f"FROM {rel} WHERE CAST({checks.not_null[0]} AS VARCHAR) LIKE '%{digit}%'"
+        (not_null, _, _, parents, _), rel = _CHECKS[table], sound(table)
+        rows = lambda digit: f"FROM {rel} WHERE CAST({not_null.split()[0]} AS VARCHAR) LIKE '%{digit}%'"
         parts = [f"SELECT * FROM {rel}", f"SELECT * {rows(1)}",
-                 f"SELECT * REPLACE ({', '.join(f'NULL AS {c}' for c in checks.not_null)}) {rows(2)}"]
-        if checks.relationships:
-            parts.append(f"SELECT * REPLACE ({', '.join(f'-1 - {c} AS {c}' for c in checks.relationships)}) {rows(3)}")
+                 f"SELECT * REPLACE ({', '.join(f'NULL AS {c}' for c in not_null.split())}) {rows(2)}"]
+        if parents:
+            parts.append(f"SELECT * REPLACE ({', '.join(f'-1 - {c} AS {c}' for c in parents)}) {rows(3)}")
         return f"({' UNION ALL '.join(parts)})"
 
     def add(table: str, check: str, column: str, count: str) -> None:
         out.append(f"SELECT '{table}' AS table_name, '{check}' AS check, '{column}' AS column_name, "
                    f"CAST(({count}) AS BIGINT) AS n_violations")
 
-    for table, checks in K.ALL.items():
+    for table, (not_null, unique, together, parents, expression) in _CHECKS.items():
         rel = relation(table)
-        for c in checks.not_null:
+        for c in not_null.split():
             add(table, "not_null", c, f"SELECT count(*) FROM {rel} WHERE {c} IS NULL")
-        for c in checks.unique:
+        for c in unique.split():
             add(table, "unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {rel} WHERE {c} IS NOT "
                 f"NULL GROUP BY {c} HAVING count(*) > 1)")
-        if checks.combination:
-            cols = ", ".join(checks.combination)
-            add(table, "unique_combination", "+".join(checks.combination),
+        if together:
+            cols = ", ".join(together.split())
+            add(table, "unique_combination", "+".join(together.split()),
                 f"SELECT count(*) FROM (SELECT {cols} FROM {rel} GROUP BY {cols} HAVING count(*) > 1)")
-        for c, (parent, field) in checks.relationships.items():
+        for c, (parent, field) in ((c, p.split(".")) for c, p in parents.items()):
             add(table, "relationships", c, f"SELECT count(*) FROM {rel} x LEFT JOIN {relation(parent)} y "
                 f"ON x.{c} = y.{field} WHERE x.{c} IS NOT NULL AND y.{field} IS NULL")
-        if checks.expression:
-            add(table, "expression_is_true", checks.expression,
-                f"SELECT count(*) FROM {rel} WHERE NOT ({checks.expression}) "
-                f"OR ({checks.expression}) IS NULL")
+        if expression:
+            add(table, "expression_is_true", expression,
+                f"SELECT count(*) FROM {rel} WHERE NOT ({expression}) OR ({expression}) IS NULL")
     return "\nUNION ALL ".join(out)
 
 

@@ -31,9 +31,11 @@ def _ts(text: str):
 def ingest(spark: SparkSession, cfg: Config, store: Store, folder: str, now: str,
            run_date: str | None = None, today: str | None = None) -> int:
     """Gate one drop and upsert it into the raw table; returns rows inserted or updated."""
-    drop = read_drop(spark, find_drop(spark, folder, cfg, run_date, today))
-    require_raw(drop.drop(POSITION), REQUIRED_COLUMNS, "job_url")
-    return load(spark, store, drop, now, cfg.buckets)
+    found = read_drop(spark, find_drop(spark, folder, cfg, run_date, today))
+    with Scratch(spark) as scratch:
+        drop = scratch.stage(found)  # text is parsed once; gates and load read the columns they need
+        require_raw(drop.drop(POSITION), REQUIRED_COLUMNS, "job_url")
+        return load(spark, store, drop, now, cfg.buckets)
 
 
 def raw_table(store: Store, parts: list[str] | None = None) -> DataFrame:
