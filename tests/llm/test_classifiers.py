@@ -30,13 +30,12 @@ def test_languages_of_held_out_documents(spark):
 
 def test_text_of_an_unlearned_language_is_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    for away in ("es", "fr"):
-        model = language.train(docs, language.F.col("lang") != away)
-        assert away not in model.languages
-        rows = language.predict(docs, model, ["lang"]).groupBy("lang").agg(
-            language.F.avg(language.F.col("accepted").cast("int"))).collect()
-        accepted = dict(map(tuple, rows))
-        assert accepted.pop(away) < 0.1 and min(accepted.values()) > 0.99
+    model = language.train(docs, language.F.col("lang") != "es")
+    assert "es" not in model.languages
+    rows = language.predict(docs, model, ["lang"]).groupBy("lang").agg(
+        language.F.avg(language.F.col("accepted").cast("int"))).collect()
+    accepted = dict(map(tuple, rows))
+    assert accepted.pop("es") < 0.1 and min(accepted.values()) > 0.99
 
 
 def test_a_rare_language_gets_rows():
