@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hiremart.llm.common import SPACE, let
 
-WORDS, BINS, BITS = 5, 128, 8
+WORDS, BINS, BITS, RANGES = 5, 128, 8, 8
 _SHIFT = 64 - BINS.bit_length() + 1
 EMPTY = "0" * (BINS * BITS // 4)
 
@@ -95,10 +95,10 @@ def with_next(docs: DataFrame, derived: dict[str, Column], follow: list[str], id
     """Rows with ``derived`` columns and, as next_*, the ``follow`` columns of the row with the next smaller id.
 
     After the last row comes the first. Rows are dealt once, by ranges of (numeric) ids whose limits are
-    approximate quantiles, one range for each shuffle partition; each range also gets the row after
-    its last. Rows with equal ids follow each other by their columns; null ids come last.
+    approximate quantiles, RANGES of them for each shuffle partition, so that partitions even out although ranges
+    are dealt by hash; each range also gets the row after its last. Rows with equal ids follow each other by their columns; null ids come last.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
     found = docs.agg(F.percentile_approx(id_column, shares).alias("limits")).first()["limits"] if shares else None
     rows = docs.withColumns({"_range": _range_of(F.col(id_column), sorted(set(found or []))), "_given": F.lit(0)})
