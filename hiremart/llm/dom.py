@@ -12,11 +12,13 @@ import re
 
 import numpy as np
 
-_RAW = "script|style|noscript|template|textarea|iframe|svg|title|object|canvas|select"
+_RAW = "script|style|noscript|template|textarea|iframe|svg|title|select"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<svg(?=[\s/])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<=/)>"  # foreign elements can close themselves
     r"|<(?P<raw>" + _RAW + r")(?=[\s/>]|\Z)(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>?.*?(?:</(?P=raw)\s*>|\Z)"
+    # What only old browsers show; without an end tag these are elements like others, not all the rest of the page.
+    r"|<(?P<old>object|canvas)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>(?:(?!<(?P=old)[\s/>]).)*?</(?P=old)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<(?=[a-zA-Z])[^>]*\Z", re.S | re.I)
@@ -24,7 +26,7 @@ _NAMED = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
+INLINE = frozenset("a abbr acronym b bdi bdo big canvas cite code data del dfn em font i ins kbd label mark object q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr img".split())
 #: What closes an open element of the same kind.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),

@@ -70,6 +70,14 @@ def test_icons_and_custom_elements_end_where_they_end(icon):
     assert "".join(t for _, t in page.segments).split() == ["a", "b", "rest"]
 
 
+def test_unclosed_canvas_and_object_do_not_swallow_the_page():
+    shown = lambda html: "".join(t for _, t in dom.Page(html).segments).split()
+    assert shown("<p>a</p><canvas>b<p>rest of article</p>") == ["a", "b", "rest", "of", "article"]
+    assert shown("<p>a</p><object data='x'>b<p>rest</p>") == ["a", "b", "rest"]
+    assert shown("<p>a <canvas id=c>no</canvas> b</p><object><param>no</object><p>c</p>") == ["a", "b", "c"]
+    assert len(shown("<canvas>x " * 20_000)) == 20_000
+
+
 def test_odd_pages(spark, model):
     deep = "<div>" * 3_000 + "x" + "</div>" * 3_000
     texts = [None, "", "plain words only", "<", "<p", "<!-- open", "<script>x", "</p></div>", deep, "<article><p>a&amp;b &lt;c&gt;"
