@@ -6,6 +6,7 @@ table share it; checks that group pre-aggregate, so a dominant value is one part
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -140,15 +141,19 @@ def raw_gate(df: DataFrame, required: list[str], key: str) -> DataFrame:
     )
 
 
-def require_raw(df: DataFrame, required: list[str], key: str) -> int:
-    """Raise unless the drop passes the raw gate; returns its row count."""
-    seen = raw_gate(df, required, key).first()
+def require_counts(seen: Mapping[str, str | int]) -> int:
+    """Raise unless the counts of a raw gate are those of a sound drop; returns the rows."""
     if seen["missing_columns"]:
         raise QualityError(f"missing required columns: {seen['missing_columns']}")
     if seen["row_count"] == 0:
         raise QualityError("the drop contains no rows")
     if seen["blank_keys"]:
-        raise QualityError(f"{seen['blank_keys']} rows without {key}")
+        raise QualityError(f"{seen['blank_keys']} rows without a key")
     if seen["duplicate_keys"]:
-        raise QualityError(f"{seen['duplicate_keys']} duplicate {key} values")
+        raise QualityError(f"{seen['duplicate_keys']} rows with a duplicate key")
     return seen["row_count"]
+
+
+def require_raw(df: DataFrame, required: list[str], key: str) -> int:
+    """Raise unless the drop passes the raw gate; returns its row count."""
+    return require_counts(raw_gate(df, required, key).first().asDict())

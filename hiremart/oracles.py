@@ -656,14 +656,14 @@ def oracle_sql() -> dict[str, str]:
                     WHERE {_NOW} GROUP BY 1, 2 ORDER BY n DESC, name NULLS LAST, size LIMIT 15)
             SELECT {_initcap("name")} AS company_name, size AS company_size, n AS total_active_jobs
             FROM g"""),
-        "report_trend": _model(f"""
+        **dict.fromkeys(("report_trend", "stored_trend"), _model(f"""
             SELECT CAST(d.date_day AS VARCHAR) AS snapshot_date,
               count(DISTINCT f.job_sk) AS total_active_jobs,
               {_mean_million(_cents("salary_min", "salary_max"), "2 * count(salary_max)")}
                 AS avg_market_salary_mil
             FROM fct_job_snapshot f JOIN dim_date d ON d.date_id = f.date_id
             WHERE d.date_day >= DATE '2024-01-06' - INTERVAL 30 DAY AND salary_min > 0
-            GROUP BY d.date_day"""),
+            GROUP BY d.date_day""")),
         "dq_not_null": _raw(" UNION ALL ".join(
             f"SELECT 'not_null' AS check, '{c}' AS column_name, count(*) - count({c}) AS n_violations "
             "FROM raw" for c in POSTING_COLUMNS)),

@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions
 
 from hiremart.config import POSTING_COLUMNS, REQUIRED_COLUMNS, UPDATE_COLUMNS, Config
 from hiremart.operators.dedup import purge_duplicates
-from hiremart.operators.quality import QualityError, require_clean, require_raw
+from hiremart.functions.salary import with_salary
+from hiremart.operators.quality import QualityError, require_clean, require_counts
 from hiremart.operators.scd2 import merge_open, open_versions
 from hiremart.operators.upsert import KEEP, upsert
 from hiremart.plans import checks as K, intermediate as I, marts as M, reports as R
-from hiremart.plans.staging import GRAIN, salary_failures, stg_postings
+from hiremart.plans.staging import GRAIN, stg_postings
 from hiremart.sources.drops import (
-    POSITION, RAW_SCHEMA, find_drop, prepare_batch, read_drop, require_crawl_times)
+    RAW_SCHEMA, drop_counters, find_drop, prepare_batch, read_drop, require_crawl_times)
 from hiremart.sources.scratch import Scratch
 from hiremart.sources.store import PART, Store, bucket, values_of
 from hiremart.streaming import incremental as INC
 
-RAW, STATE, FACT = "raw", "fact_state", "fct_job_snapshot"
+RAW, STATE, TREND, FACT = "raw", "fact_state", "trend_state", "fct_job_snapshot"
 TWICE = "two rows of one job_url in the raw table"
 
 
@@ -31,11 +32,30 @@ def _ts(text: str):
 def ingest(spark: SparkSession, cfg: Config, store: Store, folder: str, now: str,
            run_date: str | None = None, today: str | None = None) -> int:
     """Gate one drop and upsert it into the raw table; returns rows inserted or updated."""
-    found = read_drop(spark, find_drop(spark, folder, cfg, run_date, today))
-    with Scratch(spark) as scratch:
-        drop = scratch.stage(found)  # text is parsed once; gates and load read the columns they need
-        require_raw(drop.drop(POSITION), REQUIRED_COLUMNS, "job_url")
-        return load(spark, store, drop, now, cfg.buckets)
+    drop = read_drop(spark, find_drop(spark, folder, cfg, run_date, today))
+    absent = sorted(set(REQUIRED_COLUMNS) - set(drop.columns))
+    if absent:
+        raise QualityError(f"missing required columns: {','.join(absent)}")
+    return load(spark, store, drop, now, cfg.buckets, gated=True)
+
+
+def _batch(scratch: Scratch, drop: DataFrame, gated: bool) -> DataFrame:
+    """The rows to load, staged. What the gates look at is counted by the two writes themselves.
+
+    The drop is parsed once. Both counts are taken in the tasks that write, of which Spark counts each part
+    once, also when lost executors make it run again.
+    """
+    rows, keys = Observation("drop"), Observation("keys")
+    staged = scratch.stage(drop.observe(rows, *drop_counters(drop)))
+    seen = {c: rows.get.get(c) or 0 for c in ("row_count", "blank_keys", "bad_crawl_times")}
+    if not gated:
+        require_crawl_times(seen["bad_crawl_times"])
+    batch = scratch.stage(prepare_batch(staged).observe(keys, F.count("*").alias("keys")))
+    if gated:
+        repeated = seen["row_count"] - seen["blank_keys"] - (keys.get.get("keys") or 0)
+        require_counts({**seen, "missing_columns": "", "duplicate_keys": repeated})
+        require_crawl_times(seen["bad_crawl_times"])
+    return batch
 
 
 def raw_table(store: Store, parts: list[str] | None = None) -> DataFrame:
@@ -43,17 +63,19 @@ def raw_table(store: Store, parts: list[str] | None = None) -> DataFrame:
     return store.read(RAW, parts, RAW_SCHEMA)
 
 
-def load(spark: SparkSession, store: Store, drop: DataFrame, now: str, buckets: int = Config.buckets) -> int:
+def load(spark: SparkSession, store: Store, drop: DataFrame, now: str, buckets: int = Config.buckets, gated: bool = False) -> int:
     """Upsert a drop into the buckets of the raw table that hold its links; returns rows inserted or updated.
 
+    ``gated`` refuses empty drops and rows without a link or with one seen before; else the former are left out, of
+    the latter the last is loaded.
+
     Only these buckets are read, joined and written; the files of the others stay. A bucket is written in key
     order, so that equal keys are neighbours: one pair of them, and the write fails before anything
     is replaced. An older table may hold such pairs; its buckets then lose all but the newest row of a key.
     Counts come out of the write itself.
     """
-    require_crawl_times(drop)
     with Scratch(spark) as scratch:
-        batch = scratch.stage(prepare_batch(drop))
+        batch = _batch(scratch, drop, gated)
         part = bucket("job_url", buckets)
         touched = sorted({*values_of(batch, part)} & {*store.parts(RAW)})
 
@@ -155,6 +177,24 @@ def _fact_state(store: Store, state: DataFrame) -> tuple[list[str], int]:
     return [p for p in _days(store) if p >= newest[0]], late
 
 
+def _trend_state(store: Store) -> None:
+    """Make the trend's day states anew from the newest known day on, and where one is missing.
+
+    Older days of the facts never change. A run that died between facts and states is healed by the next.
+    """
+    known = store.parts(TREND)
+    days = [d for d in _days(store) if d not in known or d >= known[-1]]
+    if days:
+        store.replace(TREND, R.trend_state(store.read(STATE, days), "job_bk"), F.col("date_id"))
+
+
+def store_facts(store: Store, state: DataFrame) -> tuple[list[str], int]:
+    """Add facts to the stored days and refresh their states; returns the days written and the late rows."""
+    written = _fact_state(store, state)
+    _trend_state(store)
+    return written
+
+
 def serving_fact(store: Store, days: list[str] | None = None) -> DataFrame:
     """The fact with today's surrogate keys, resolved when read; ``days`` opens only these parts.
 
@@ -171,9 +211,11 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
     ``strict`` stops at the first layer with violations; otherwise they are listed in the outcome.
     """
     raw = raw_table(store)
-    state = INC.freshness(raw, "crawled_at", _ts(as_of), cfg.warn_hours, cfg.error_hours).first()
-    failures = salary_failures(raw, cfg).first()["n_violations"]
-    outcome = Outcome(state["status"], 0, failures)
+    # One narrow scan, before the wide one is paid for.
+    priced = with_salary(raw.select("job_url", "salary", "crawled_at"), "salary", cfg.usd_rate)
+    failed = F.count_if(F.col("salary_failed") & (F.trim("job_url") != "")).alias("n_failed")
+    state = INC.freshness(priced, "crawled_at", _ts(as_of), cfg.warn_hours, cfg.error_hours, failed).first()
+    outcome = Outcome(state["status"], 0, state["n_failed"])
     if state["status"] == "error" and strict:
         raise QualityError(f"raw data is stale: last crawl {state['max_loaded_at']}")
 
@@ -194,7 +236,7 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
             spark, store, "snap_dim_company", companies, "company_bk", as_of, cfg.buckets)
         _check(outcome, K.SNAPSHOTS, tables.__getitem__, strict)
 
-        days, outcome.late_rows = _fact_state(store, M.fact_state(events, cfg))
+        days, outcome.late_rows = store_facts(store, M.fact_state(events, cfg))
         # Older facts' days and places are in the dimensions of the run before.
         fresh = store.read(STATE, days)
         calendar, codes = (scratch.stage(store.read(name)) if store.exists(name) else None
@@ -216,11 +258,18 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
     return outcome
 
 
+def trend_report(store: Store, cfg: Config, as_of: str) -> DataFrame:
+    """The trend from the states of its days: no fact is read, and of the dimensions only today's job keys."""
+    start = (datetime.fromisoformat(as_of) - timedelta(days=cfg.trend_days)).strftime("%Y%m%d")
+    states = store.read(TREND, [d for d in store.parts(TREND) if d >= start])
+    jobs = M.current(store.read("dim_job"), "external_job_id", "job_sk", "job_bk")
+    return R.merge_trend(states.join(jobs, "job_bk", "left"), "job_sk", store.read("dim_date"),
+                         _ts(as_of).cast("date"), cfg.trend_days)
+
+
 def reports(store: Store, cfg: Config, as_of: str) -> dict[str, DataFrame]:
     """The six reports over the stored marts; each opens only the days it is about."""
-    days = _days(store)
-    today = serving_fact(store, days[-1:])
-    start = (datetime.fromisoformat(as_of) - timedelta(days=cfg.trend_days)).strftime("%Y%m%d")
+    today = serving_fact(store, _days(store)[-1:])
     companies, jobs = store.read("dim_company"), store.read("dim_job")
     return {
         "top_keywords": R.top_keywords(today, store.read("bridge_job_tags"), store.read("dim_tag")),
@@ -228,8 +277,7 @@ def reports(store: Store, cfg: Config, as_of: str) -> dict[str, DataFrame]:
         "hotspots_by_location": R.hotspots_by_location(today, store.read("dim_location")),
         "company_size_distribution": R.company_size_distribution(today, companies),
         "top_companies": R.top_companies(today, companies),
-        "hiring_trend": R.hiring_trend(
-            serving_fact(store, [d for d in days if d >= start]), store.read("dim_date"), _ts(as_of).cast("date"), cfg.trend_days),
+        "hiring_trend": trend_report(store, cfg, as_of),
     }
 
 

@@ -100,18 +100,34 @@ def _company_jobs(fact: DataFrame, companies: DataFrame) -> DataFrame:
     return pairs.join(companies, "company_sk")
 
 
-def hiring_trend(fact: DataFrame, dates: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    """Jobs with a stated salary and their mean salary per day, back to ``days`` before ``as_of``."""
+def trend_state(facts: DataFrame, key: str) -> DataFrame:
+    """One row per day and job: facts with a stated salary and their amounts.
+
+    Exact partial results: those of different days are put side by side, and a job may still be named
+    by another key, or by none, when they are merged.
+    """
+    paid = F.col("salary_min") > 0
+    both = F.when(paid, F.col("salary_min") + F.col("salary_max"))
+    return facts.groupBy("date_id", key).agg(
+        F.count_if(paid).alias("n_paid"), F.sum(both).alias("sum_both"), F.count(both).alias("n_both"))
+
+
+def merge_trend(states: DataFrame, key: str, dates: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
+    """The trend from states in which a day holds a job once."""
     start = F.date_sub(as_of, days)
     window = dates.where(F.col("date_day") >= start).select("date_id", "date_day")
-    both = F.col("salary_min") + F.col("salary_max")
-    # The same bound on the fact's own key reaches its scan.
-    recent = fact.where((F.col("date_id") >= date_id(start)) & (F.col("salary_min") > 0))
+    recent = states.where((F.col("date_id") >= date_id(start)) & (F.col("n_paid") > 0))
     daily = recent.groupBy("date_id").agg(
-        F.count_distinct("job_sk").alias("total_active_jobs"),
-        F.sum(both).alias("_sum"), F.count(both).alias("_n"))
+        F.count(key).alias("total_active_jobs"), F.sum("sum_both").alias("_sum"), F.sum("n_both").alias("_n"))
     # Days are aggregated first: the join sees one row per day on either side.
     return daily.join(window, "date_id").select(
         F.col("date_day").alias("snapshot_date"), "total_active_jobs",
         mean_millions(F.col("_sum"), F.col("_n"), 2).alias("avg_market_salary_mil"),
     ).orderBy("snapshot_date")
+
+
+def hiring_trend(fact: DataFrame, dates: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
+    """Jobs with a stated salary and their mean salary per day, back to ``days`` before ``as_of``."""
+    # The bound on the fact's own key reaches its scan.
+    recent = fact.where((F.col("date_id") >= date_id(F.date_sub(as_of, days))) & (F.col("salary_min") > 0))
+    return merge_trend(trend_state(recent, "job_sk"), "job_sk", dates, as_of, days)

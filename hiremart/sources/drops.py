@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hiremart.config import POSTING_COLUMNS, Config
 from hiremart.operators.dedup import keep_last
@@ -93,14 +93,19 @@ def prepare_batch(drop: DataFrame) -> DataFrame:
 
 def bad_crawl_times(drop: DataFrame) -> DataFrame:
     """One row: how many rows with a link have no usable crawl time."""
+    return drop.agg(drop_counters(drop)[-1].alias("n"))
+
+
+def drop_counters(drop: DataFrame) -> list[Column]:
+    """What the gates of a load count in a drop: rows, rows without a link, rows with one but no crawl time."""
     crawled = (F.col("crawled_at").try_cast("timestamp_ntz") if "crawled_at" in drop.columns
                else F.lit(None).cast("timestamp_ntz"))
-    link = F.regexp_replace("job_url", r"(?U)^\s+|\s+$", "")
-    return drop.where(link != "").agg(F.count_if(crawled.isNull()).alias("n"))
+    linked = F.coalesce(F.regexp_replace("job_url", r"(?U)^\s+|\s+$", "") != "", F.lit(False))
+    return [F.count("*").alias("row_count"), F.count_if(~linked).alias("blank_keys"),
+            F.count_if(linked & crawled.isNull()).alias("bad_crawl_times")]
 
 
-def require_crawl_times(drop: DataFrame) -> None:
+def require_crawl_times(bad: int) -> None:
     """Raise if any row with a link has no usable crawl time."""
-    bad = bad_crawl_times(drop).first()["n"]
     if bad:
         raise QualityError(f"{bad} rows with missing or invalid crawled_at")

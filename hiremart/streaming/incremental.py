@@ -41,13 +41,13 @@ def delete_insert(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 
-def freshness(df: DataFrame, at: str, as_of: Column, warn_hours: int, error_hours: int
-              ) -> DataFrame:
-    """One row: latest time, age and pass / warn / error."""
+def freshness(df: DataFrame, at: str, as_of: Column, warn_hours: int, error_hours: int,
+              *others: Column) -> DataFrame:
+    """One row: latest time, age and pass / warn / error; ``others`` are aggregated in the same scan."""
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("as_of"))
     late = lambda hours: F.col("age_seconds") > hours * 3600
     return (
-        df.agg(F.max(at).alias("max_loaded_at"))
+        df.agg(F.max(at).alias("max_loaded_at"), *others)
         .withColumn("as_of", as_of)
         .withColumn("age_seconds", age)
         .withColumn(

@@ -103,6 +103,61 @@ def test_three_daily_runs(spark, place):
     assert store.read("fact_state").count() == 6
 
 
+def test_a_drop_is_read_once_and_gates_count_in_the_writes(spark, tmp_path):
+    store, sc = Store(spark, f"{tmp_path}/store"), spark.sparkContext
+    drops.write_drop(frame(spark, [posting(n, 1) for n in range(5)]), f"{tmp_path}/d", CFG, "20240101")
+    sc.setJobGroup("gated", "a load")
+    assert P.ingest(spark, CFG, store, f"{tmp_path}/d", "2024-01-01 02:00:00", run_date="20240101") == 5
+    jobs = len(sc.statusTracker().getJobIdsForGroup("gated"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    # header, drop, batch (shuffle, write), its parts (shuffle, result), upsert (two shuffles, sort by bucket, write)
+    assert jobs <= 10, jobs
+
+    with pytest.raises(QualityError, match="no rows"):
+        run_day(spark, str(tmp_path), store, 2, [])
+    with pytest.raises(QualityError, match="1 rows without a key"):
+        run_day(spark, str(tmp_path), store, 2, [posting(1, 2), posting(2, 2, job_url="  ")])
+    with pytest.raises(QualityError, match="2 rows with a duplicate key"):
+        run_day(spark, str(tmp_path), store, 2, [posting(1, 2), posting(1, 2), posting(1, 2), posting(3, 2)])
+    with pytest.raises(QualityError, match="1 rows with missing or invalid crawled_at"):
+        run_day(spark, str(tmp_path), store, 2, [posting(1, 2), posting(2, 2, crawled_at="soon")])
+    drops.write_drop(frame(spark, [posting(1, 2)]).drop("title"), f"{tmp_path}/d", CFG, "20240102")
+    with pytest.raises(QualityError, match="missing required columns: title"):
+        P.ingest(spark, CFG, store, f"{tmp_path}/d", "2024-01-02 02:00:00", run_date="20240102")
+    assert P.raw_table(store).count() == 5
+
+
+def test_trend_states_follow_rewritten_days_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    facts = spark.createDataFrame(
+        [("a", 1, 10.0, 20.0), ("b", 1, None, 5.0), ("a", 2, 10.0, 20.0), ("b", 2, 2.0, None), ("c", 2, 0.0, 1.0), ("d", 3, 4.0, 4.0)],
+        "job_bk string, day int, lo double, hi double").select(
+        "job_bk", F.expr("make_timestamp_ntz(2024, 1, day, 1, 0, 0)").alias("snapshot_ts"), (F.col("day") + 20240100).alias("date_id"),
+        *[F.col(c).cast("decimal(18,2)").alias(n) for c, n in (("lo", "salary_min"), ("hi", "salary_max"))])
+    days = lambda n: facts.where(F.col("date_id") <= 20240100 + n)
+    P.store_facts(store, days(2).where("date_id = 20240101 or job_bk = 'c'"))
+    first, second = (written(store, "trend_state", f"2024010{d}") for d in (1, 2))
+    P.store_facts(store, days(3))
+    assert written(store, "trend_state", "20240101") == first and written(store, "trend_state", "20240102") != second
+    state = {(r["date_id"] % 100, r["job_bk"]): tuple(map(float, (r["n_paid"], r["sum_both"] or 0, r["n_both"])))
+             for r in store.read("trend_state").collect()}
+    assert state == {(1, "a"): (1, 30, 1), (1, "b"): (0, 0, 0), (2, "a"): (1, 30, 1), (2, "b"): (1, 0, 0), (2, "c"): (0, 0, 0),
+                     (3, "d"): (1, 8, 1)}
+    # d has no version today: its amount counts, the job does not
+    store.overwrite("dim_job", spark.createDataFrame(
+        [("a", 1, None), ("b", 2, None), ("b", 3, "2024-01-01"), ("c", 4, None)],
+        "external_job_id string, job_sk int, dbt_valid_to string"))
+    store.overwrite("dim_date", spark.createDataFrame([(20240101,), (20240102,), (20240103,)], "date_id int").withColumn(
+        "date_day", F.to_date(F.col("date_id").cast("string"), "yyyyMMdd")))
+    rows = P.trend_report(store, CFG, "2024-01-03 03:00:00").collect()
+    assert [(r["snapshot_date"].day, r["total_active_jobs"], r["avg_market_salary_mil"]) for r in rows] == [(1, 1, 0.0), (2, 2, 0.0), (3, 0, 0.0)]
+    # a part that got lost, as in a run that died before it wrote the states, is made again
+    from hiremart.sources import files
+    files.delete(spark, f"{store.path('trend_state')}/part=20240101")
+    P.store_facts(store, days(3))
+    assert store.read("trend_state").count() == 6
+
+
 def test_violations_stop_a_strict_run(spark, tmp_path):
     bad = [posting(1, 1, salary="25 - 18 triệu")]
     store = Store(spark, f"{tmp_path}/a")
