@@ -127,17 +127,27 @@ def blob_of(column: str = "text") -> Column:
     return F.unhex(F.sha2(text_of(column).cast("binary"), 256))
 
 
-def scan_blobs(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
+def addressed(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """(_id, blob) of each path."""
+    return docs.select(F.col(id_column).alias("_id"), blob_of().alias("blob"))
+
+
+def scan_blobs(docs: DataFrame, paths: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
                id_column: str = "doc_id") -> DataFrame:
-    """(blob, spans) of each blob in ``docs`` (id, text) under ``rules``.
+    """(blob, spans) of each blob in ``docs`` (id, text) that has findings under ``rules``, written.
 
-    ``docs`` may hold several versions of a path. ``ledger`` is a folder on shared storage; what this
-    run scans is appended to it.
+    ``paths`` are their addresses. ``docs`` may hold several versions of a path. ``ledger`` is a folder on shared
+    storage; what this run scans is appended to it. Of the ledger only rows of the run's blobs are grouped.
     """
     every = F.array(*[F.lit(r.key) for r in rules])
-    known = read_ledger(docs, ledger).groupBy("blob").agg(F.flatten(F.collect_set("scanned")).alias("_done"))
-    paths = docs.select(F.col(id_column).alias("_id"), blob_of().alias("blob"))
-    pending = paths.groupBy("blob").agg(F.min("_id").alias("_first")).join(known, "blob", "left").select(
+    firsts = scratch.stage(paths.groupBy("blob").agg(F.min("_id").alias("_first")))
+
+    def of_run(rows: DataFrame) -> DataFrame:
+        return rows.join(firsts.select("blob"), "blob", "left_semi")
+
+    known = of_run(read_ledger(docs, ledger).select("blob", "scanned")).groupBy("blob").agg(
+        F.flatten(F.collect_set("scanned")).alias("_done"))
+    pending = firsts.join(known, "blob", "left").select(
         F.col("blob").alias("_blob"), "_first",
         F.array_except(every, F.coalesce("_done", F.array().cast("array<string>"))).alias("pending"),
     ).where(F.size("pending") > 0)
@@ -147,27 +157,32 @@ def scan_blobs(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule
     found.select("blob", F.col("pending").alias("scanned"), "spans").dropDuplicates(["blob"]).write.mode(
         "append").parquet(ledger)
     kinds = {r.kind for r in rules}
-    results = read_ledger(docs, ledger).where(F.arrays_overlap("scanned", every))
     # A raised version supersedes the findings of the older one: of a kind, those of the scans with its present version.
     current = F.filter("spans", lambda s: s["kind"].isin(*kinds) & F.array_contains(
         "scanned", F.element_at(F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.key)]), s["kind"])))
-    return results.select("blob", current.alias("spans")).groupBy("blob").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    results = read_ledger(docs, ledger).where(F.size("spans") > 0).select("blob", current.alias("spans"))
+    return scratch.stage(of_run(results.where(F.size("spans") > 0)).groupBy("blob").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")))
 
 
 def scan_history(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
                  id_column: str = "doc_id") -> DataFrame:
-    """(id, spans) of each row of ``docs`` (id, text): the findings of its blob."""
-    paths = scratch.stage(docs.select(F.col(id_column).alias("_id"), blob_of().alias("blob")))
-    return paths.join(scan_blobs(docs, ledger, scratch, rules, id_column), "blob").select(
-        F.col("_id").alias(id_column), "spans")
+    """(id, spans) of each row of ``docs`` (id, text): the findings of its blob.
+
+    Findings are written before they meet their paths, so that both sides of the join come straight out of a
+    shuffle and a content held by very many paths is split over tasks.
+    """
+    paths = scratch.stage(addressed(docs, id_column))
+    found = scan_blobs(docs, paths, ledger, scratch, rules, id_column)
+    return paths.join(found, "blob", "left").select(
+        F.col("_id").alias(id_column), F.coalesce("spans", F.array().cast(f"array<{_SPAN}>")).alias("spans"))
 
 
 def redact(docs: DataFrame, ledger: str, scratch: Scratch, rules: tuple[Rule, ...] = RULES,
            id_column: str = "doc_id") -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by its kind in brackets."""
     blob, spans = unused(docs, "blob", "spans")
-    found = scan_blobs(docs, ledger, scratch, rules, id_column).where(F.size("spans") > 0)
+    found = scan_blobs(docs, addressed(docs, id_column), ledger, scratch, rules, id_column)
     found = found.select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     columns = [F.when(F.col(spans).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(spans))).alias("text")
                if c == "text" else F.col(f"`{c}`") for c in docs.columns]
