@@ -176,7 +176,8 @@ def load_batch(spark, sf_dir):
     folder = Scratch(spark).path("drops")
     raw = postings(spark, sf_dir)
     drops.write_drop(_day(raw, "crawled_at", 1), folder, CFG, "20240101")
-    drops.write_drop(raw.orderBy("crawled_at"), folder, CFG, "20240105")  # later crawls further down
+    # Later crawls further down. There are as many tasks as ranges, so a day must not be one: links split it.
+    drops.write_drop(raw.orderBy("crawled_at", "job_url"), folder, CFG, "20240105")
     drops.write_drop(_day(raw, "crawled_at", 2), folder, CFG, "20240109")
     return drops.prepare_batch(drops.read_drop(spark, drops.find_drop(spark, folder, CFG, "20240105")))
 

@@ -6,8 +6,10 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from hiremart.sources import drops
 from tests.conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -45,3 +47,23 @@ def test_query_equals_its_oracle(spark, duck, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_a_drop_in_crawl_order_is_written_by_more_tasks_than_days(spark, monkeypatch):
+    """Sorted by crawl time alone, each of the five days would be one task, however many rows it has."""
+    sizes, write = {}, drops.write_drop
+
+    def spy(df, folder, cfg, run_date):
+        sizes[run_date] = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        return write(df, folder, cfg, run_date)
+
+    monkeypatch.setattr(drops, "write_drop", spy)
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        entry.queries()["load_batch"](spark, SF)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(sizes["20240105"]) > 5 and max(sizes["20240105"]) < sum(sizes["20240105"]) / 5
