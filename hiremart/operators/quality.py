@@ -51,8 +51,11 @@ def uniqueness(df: DataFrame, columns: list[str], combinations: list[list[str]])
 
     A row gives one (check, key) pair for each check. All pairs go through one scan and one shuffle, pre-aggregated,
     so a dominant key costs one row a task. A key is written as the lengths and texts of its values, which keeps it apart
-    from any other.
+    from any other. A check that is the only one groups by its columns as they are: no row is turned into text.
     """
+    if len(columns) + len(combinations) == 1:
+        return unique(df, columns[0]) if columns else unique_combination(df, list(combinations[0]))
+
     def key(parts: list[str]) -> Column:
         texts = [F.col(c).cast("string") for c in parts]
         return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])

@@ -9,7 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from hiremart import queries as registry
+from hiremart.operators import quality as Q
 from hiremart.sources import drops
+from hiremart.sources.scratch import Scratch
 from tests.conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -67,3 +70,28 @@ def test_a_drop_in_crawl_order_is_written_by_more_tasks_than_days(spark, monkeyp
         for name, value in before.items():
             spark.conf.set(name, value)
     assert len(sizes["20240105"]) > 5 and max(sizes["20240105"]) < sum(sizes["20240105"]) / 5
+
+
+def test_a_lone_uniqueness_check_makes_no_text_of_its_keys(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, None), (2, None)], "k long, t string")
+    for columns, combinations, column in ((["k"], [], "k"), (["t"], [], "t"), ([], [["k", "t"]], "k+t")):
+        found = Q.uniqueness(rows, columns, combinations)
+        assert "concat" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert [(r["column_name"], r["n_violations"]) for r in found.collect()] == [(column, 3 if combinations else 2)]
+
+
+def test_tables_of_a_build_are_made_from_the_copies_of_those_before(spark):
+    plans = []
+
+    class Spy(Scratch):
+        def stage(self, df):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return super().stage(df)
+
+    with Spy(spark) as scratch:
+        table = registry._tables(spark, SF, scratch)
+        for source, history in (("int_job_snapshot_source", "snap_dim_job"), ("int_company_snapshot_source", "snap_dim_company")):
+            table(source)
+            assert "Window" in plans[-1]
+            table(history)
+            assert "Window" not in plans[-1]
