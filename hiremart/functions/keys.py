@@ -9,6 +9,8 @@ from hiremart.functions.text import _c
 # Fixed value: what a missing field contributes to a hashed key.
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
+_LEAD = 17  # bytes before a packed key that is no digest of 16
+
 # The two path shapes of a posting page.
 JOB_PATHS = (r"^/viec-lam/.+?/\d+\.html$", r"^/brand/.+?/tuyen-dung/.+-j\d+\.html$")
 
@@ -19,6 +21,24 @@ def surrogate_key(*cols: Column | str) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
+def packed_key(key: Column | str) -> Column:
+    """A text key in bytes for the way through a shuffle; different keys stay different, null stays null.
+
+    A digest in lower-case hex, which no codec shrinks much on the way, becomes its 16 bytes; other text
+    follows 17 zero bytes, so that it is never as long as a digest. The order of keys is not kept.
+    """
+    key = _c(key)
+    return F.when(key.rlike(r"\A[0-9a-f]{32}\z"), F.unhex(key)).otherwise(
+        F.concat(F.lit(bytes(_LEAD)), key.cast("binary")))
+
+
+def unpacked_key(key: Column | str) -> Column:
+    """The text of a packed key."""
+    key = _c(key)
+    return F.when(F.octet_length(key) == _LEAD - 1, F.lower(F.hex(key))).otherwise(
+        F.substr(key, F.lit(_LEAD + 1)).cast("string"))
+
+
 def scd_id(key: Column | str, updated_at: Column | str) -> Column:
     parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in (key, updated_at)]
     return F.md5(F.concat_ws("|", *parts))

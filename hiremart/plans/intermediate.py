@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hiremart.config import Config
-from hiremart.functions.keys import date_id, surrogate_key
+from hiremart.functions.keys import date_id, packed_key, surrogate_key, unpacked_key
 from hiremart.functions.salary import salary_midpoint
 from hiremart.functions.text import location_items, parse_deadline, tag_items
 from hiremart.operators.dedup import latest_per_key
@@ -60,8 +60,8 @@ def event_location(cfg: Config) -> Column:
 def int_job_snapshot_source(stg: DataFrame) -> DataFrame:
     """Latest record per job."""
     narrow = stg.where(F.col("job_bk").isNotNull()).select(*JOB_ATTRIBUTES, "snapshot_ts")
-    return latest_per_key(narrow, ["job_bk"], "snapshot_ts").withColumnRenamed(
-        "snapshot_ts", "updated_at")
+    latest = latest_per_key(narrow.withColumn("job_bk", packed_key("job_bk")), ["job_bk"], "snapshot_ts")
+    return latest.withColumn("job_bk", unpacked_key("job_bk")).withColumnRenamed("snapshot_ts", "updated_at")
 
 
 def int_company_snapshot_source(stg: DataFrame) -> DataFrame:

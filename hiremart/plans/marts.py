@@ -7,12 +7,13 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hiremart.config import Config
-from hiremart.functions.keys import date_id
+from hiremart.functions.keys import date_id, packed_key, unpacked_key
 from hiremart.functions.text import initcap_words
 from hiremart.operators.dense_ids import dense_ids
 from hiremart.operators.scd2 import open_versions
 from hiremart.plans import intermediate as I
 from hiremart.plans.staging import GRAIN, stg_postings
+from hiremart.sources.files import COMPACT
 from hiremart.sources.scratch import Scratch
 
 FACT_COLUMNS = [
@@ -24,6 +25,7 @@ STATE_COLUMNS = [
     "job_bk", "snapshot_ts", "date_id", "company_bk", "location_code", "deadline_date_id",
     "salary_min", "salary_max", "salary_avg", "salary_currency", "snapshot_hash",
 ]
+DIGESTS = ["job_bk", "company_bk", "snapshot_hash"]
 
 
 def dim_source(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -33,12 +35,13 @@ def dim_source(spark: SparkSession, cfg: Config) -> DataFrame:
 
 def dim_job(history: DataFrame, scratch: Scratch) -> DataFrame:
     versions = history.select(
-        "dbt_scd_id", F.col("job_bk").alias("external_job_id"), "source_id", "title", "job_url",
+        packed_key("dbt_scd_id").alias("dbt_scd_id"), F.col("job_bk").alias("external_job_id"), "source_id", "title", "job_url",
         F.col("experience_raw").alias("experience"), "desc_mota", "desc_yeucau", "desc_quyenloi",
         F.col("working_addresses_raw").alias("working_addresses"), "working_times",
         "dbt_valid_from", "dbt_valid_to",
     )
-    return dense_ids(versions, ["external_job_id", "dbt_valid_from"], "job_sk", "bigint", scratch)
+    numbered = dense_ids(versions, ["external_job_id", "dbt_valid_from"], "job_sk", "bigint", scratch)
+    return numbered.withColumn("dbt_scd_id", unpacked_key("dbt_scd_id"))
 
 
 def dim_company(history: DataFrame, scratch: Scratch) -> DataFrame:
@@ -129,6 +132,15 @@ def fact_state(events: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def packed_facts(facts: DataFrame) -> DataFrame:
+    """Facts with their digests as bytes, half as many, for the shuffles before a write."""
+    return facts.withColumns({c: packed_key(c) for c in DIGESTS if c in facts.columns})
+
+
+def unpacked_facts(facts: DataFrame) -> DataFrame:
+    return facts.withColumns({c: unpacked_key(c) for c in DIGESTS if c in facts.columns})
+
+
 def fct_job_snapshot(state: DataFrame, dim_jobs: DataFrame, dim_companies: DataFrame,
                      dim_locations: DataFrame) -> DataFrame:
     """Resolve business keys to the current surrogate keys; unknown keys stay missing.
@@ -154,7 +166,7 @@ class Mart:
                  today: Column | None = None) -> None:
         self._raw, self._cfg, self._today = raw, cfg, today
         self._spark = raw.sparkSession
-        self._scratch = scratch or Scratch(self._spark)
+        self._scratch = scratch or Scratch(self._spark, **COMPACT)
 
     @cached_property
     def stg(self) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions
 
 from hiremart.config import POSTING_COLUMNS, REQUIRED_COLUMNS, UPDATE_COLUMNS, Config
 from hiremart.operators.dedup import purge_duplicates
+from hiremart.functions.keys import packed_key
 from hiremart.functions.salary import with_salary
 from hiremart.operators.quality import QualityError, require_clean, require_counts
 from hiremart.operators.scd2 import merge_open, open_versions
@@ -17,11 +18,13 @@ from hiremart.plans import checks as K, intermediate as I, marts as M, reports a
 from hiremart.plans.staging import GRAIN, stg_postings
 from hiremart.sources.drops import (
     RAW_SCHEMA, drop_counters, find_drop, prepare_batch, read_drop, require_crawl_times)
+from hiremart.sources.files import COMPACT
 from hiremart.sources.scratch import Scratch
 from hiremart.sources.store import PART, Store, bucket, values_of
 from hiremart.streaming import incremental as INC
 
 RAW, STATE, TREND, FACT = "raw", "fact_state", "trend_state", "fct_job_snapshot"
+SLOTS = 64  # files that the trend state of a large day has at most
 TWICE = "two rows of one job_url in the raw table"
 
 
@@ -163,29 +166,34 @@ def _fact_state(store: Store, state: DataFrame) -> tuple[list[str], int]:
     """Add the events at or after the high-water mark; returns the days written and the late rows."""
     before = _days(store)
     if not before:
-        store.replace(STATE, state, F.col("date_id"))
+        store.replace(STATE, M.packed_facts(state), F.col("date_id"), finish=M.unpacked_facts)
         return _days(store), 0
     newest = before[-1:]
     mark = INC.high_water_mark(store.read(STATE, newest), "snapshot_ts")
     # A late row can only be stored among the rows of its own day: other days are not opened.
     old = state.where(F.col("snapshot_ts") < _ts(mark))
     known = store.read(STATE, [p for p in values_of(old, F.col("date_id")) if p in before])  # days, not rows
-    late = INC.late_rows(state, known, GRAIN, "snapshot_ts", mark).count()
-    batch = INC.on_or_after(state, "snapshot_ts", mark)
+    packed = M.packed_facts(state)
+    late = INC.late_rows(packed, M.packed_facts(known), GRAIN, "snapshot_ts", mark).count()
+    batch = INC.on_or_after(packed, "snapshot_ts", mark)
     # Only the newest stored day can hold rows at the mark: older days are neither read nor written.
-    store.replace(STATE, INC.delete_insert(store.read(STATE, newest), batch, GRAIN), F.col("date_id"))
+    merged = INC.delete_insert(M.packed_facts(store.read(STATE, newest)), batch, GRAIN, "snapshot_ts", mark)
+    store.replace(STATE, merged, F.col("date_id"), finish=M.unpacked_facts)
     return [p for p in _days(store) if p >= newest[0]], late
 
 
 def _trend_state(store: Store) -> None:
     """Make the trend's day states anew from the newest known day on, and where one is missing.
 
-    Older days of the facts never change. A run that died between facts and states is healed by the next.
+    Older days of the facts never change. A run that died between facts and states is healed by the next. Facts are
+    moved once, to where their state is written: by day and slot of the job.
     """
     known = store.parts(TREND)
     days = [d for d in _days(store) if d not in known or d >= known[-1]]
     if days:
-        store.replace(TREND, R.trend_state(store.read(STATE, days), "job_bk"), F.col("date_id"))
+        facts = M.packed_facts(store.read(STATE, days)).withColumn("_slot", F.pmod(F.xxhash64("job_bk"), F.lit(SLOTS)))
+        state = R.trend_state(facts.repartition("date_id", "_slot"), "job_bk", "_slot")
+        store.replace(TREND, state, F.col("date_id"), placed=True, finish=M.unpacked_facts)
 
 
 def store_facts(store: Store, state: DataFrame) -> tuple[list[str], int]:
@@ -219,7 +227,7 @@ def transform(spark: SparkSession, cfg: Config, store: Store, as_of: str, strict
     if state["status"] == "error" and strict:
         raise QualityError(f"raw data is stale: last crawl {state['max_loaded_at']}")
 
-    with Scratch(spark) as scratch:
+    with Scratch(spark, **COMPACT) as scratch:
         tables: dict[str, DataFrame] = {RAW: raw}
         stg = tables["stg_postings"] = scratch.stage(stg_postings(raw, cfg))
         events = tables["int_job_snapshot_events"] = I.int_job_snapshot_events(stg, cfg)
@@ -263,6 +271,7 @@ def trend_report(store: Store, cfg: Config, as_of: str) -> DataFrame:
     start = (datetime.fromisoformat(as_of) - timedelta(days=cfg.trend_days)).strftime("%Y%m%d")
     states = store.read(TREND, [d for d in store.parts(TREND) if d >= start])
     jobs = M.current(store.read("dim_job"), "external_job_id", "job_sk", "job_bk")
+    states, jobs = (df.withColumn("job_bk", packed_key("job_bk")) for df in (states, jobs))
     return R.merge_trend(states.join(jobs, "job_bk", "left"), "job_sk", store.read("dim_date"),
                          _ts(as_of).cast("date"), cfg.trend_days)
 

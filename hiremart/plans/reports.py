@@ -100,16 +100,17 @@ def _company_jobs(fact: DataFrame, companies: DataFrame) -> DataFrame:
     return pairs.join(companies, "company_sk")
 
 
-def trend_state(facts: DataFrame, key: str) -> DataFrame:
+def trend_state(facts: DataFrame, key: str, *slot: str) -> DataFrame:
     """One row per day and job: facts with a stated salary and their amounts.
 
     Exact partial results: those of different days are put side by side, and a job may still be named
-    by another key, or by none, when they are merged.
+    by another key, or by none, when they are merged. Facts that were placed by day and ``slot``, which follows from
+    the key, are aggregated where they are.
     """
     paid = F.col("salary_min") > 0
     both = F.when(paid, F.col("salary_min") + F.col("salary_max"))
-    return facts.groupBy("date_id", key).agg(
-        F.count_if(paid).alias("n_paid"), F.sum(both).alias("sum_both"), F.count(both).alias("n_both"))
+    return facts.groupBy("date_id", *slot, key).agg(
+        F.count_if(paid).alias("n_paid"), F.sum(both).alias("sum_both"), F.count(both).alias("n_both")).drop(*slot)
 
 
 def merge_trend(states: DataFrame, key: str, dates: DataFrame, as_of: Column, days: int = 30) -> DataFrame:

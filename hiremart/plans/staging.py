@@ -27,7 +27,7 @@ COLUMNS = [
 
 
 def typed_postings(raw: DataFrame, cfg: Config) -> DataFrame:
-    """Normalise text, parse salaries and derive business keys; one output row per input row."""
+    """Normalise text, parse salaries and derive the company key, as bytes; one output row per input row."""
     priced = with_salary(raw.where(F.trim("job_url") != ""), "salary", cfg.usd_rate)
     cleaned = priced.select(
         F.col("crawled_at").cast("timestamp_ntz").alias("snapshot_ts"),
@@ -42,21 +42,22 @@ def typed_postings(raw: DataFrame, cfg: Config) -> DataFrame:
         "salary_currency", "salary_min", "salary_max",
     )
     company = [F.coalesce(F.col(c), F.lit("")) for c in LOWERED]
-    return cleaned.select(
-        surrogate_key("job_url").alias("job_bk"), surrogate_key(*company).alias("company_bk"),
-        F.lit(cfg.source_id).alias("source_id"), *cleaned.columns,
-    ).select(*COLUMNS)
+    return cleaned.withColumn("company_bk", F.unhex(surrogate_key(*company)))
 
 
 def stg_postings(raw: DataFrame, cfg: Config) -> DataFrame:
     """One row per (job, crawl time): titled rows first, then rows naming a company page.
 
     Rows still equal are told apart by their remaining columns, so the choice does not depend on
-    how the input was split.
+    how the input was split. A job is its link here, and its key is added to the rows that stay: digests in hex
+    would be a quarter of what is shuffled. Those of companies order the rows, as bytes like as text.
     """
     order = [F.col("title").isNull().cast("int"), F.col("company_url").isNull().cast("int")]
     ties = [F.col(c).asc_nulls_last() for c in COLUMNS if c not in (*GRAIN, "source_id", "job_url")]
-    return first_per_key(typed_postings(raw, cfg), GRAIN, [*order, *ties])
+    kept = first_per_key(typed_postings(raw, cfg), ["job_url", "snapshot_ts"], [*order, *ties])
+    return kept.withColumns({
+        "job_bk": surrogate_key("job_url"), "company_bk": F.lower(F.hex("company_bk")),
+        "source_id": F.lit(cfg.source_id)}).select(*COLUMNS)
 
 
 def salary_failures(raw: DataFrame, cfg: Config) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+COMPACT = {"compression": "zstd"}  # options of a write: digests in hex take half the bytes, which snappy leaves as they are
+
 
 def _fs(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

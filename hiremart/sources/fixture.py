@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hiremart.config import POSTING_COLUMNS
 
+TASK_ORDERS = 500_000  # their postings take about half a gigabyte where a task sorts them
 SALARIES = [
     "10 - 15 triệu", "1,000 - 2,000 USD", "Tới 20 triệu", "Từ 12 triệu", "Trên 30 triệu",
     "Thỏa thuận", None, "500k", "$1,500", "8.5 - 12.5 Triệu", "Thu nhap canh tranh",
@@ -34,27 +35,28 @@ def _cycle(values: list[str | None], number: Column) -> Column:
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem, part, supplier, nation = (
         read(spark, sf_dir, t) for t in ("orders", "lineitem", "part", "supplier", "nation"))
-    # The partitioning the join with the lines needs anyway. The count grows with the files of the
-    # table and is fixed, so that the narrow key rows are not packed into a few tasks which then
-    # would do all the text work.
-    tasks = max(spark.sparkContext.defaultParallelism, orders.rdd.getNumPartitions())
+    # The partitioning the join with the lines needs anyway. The count grows with the files and rows of
+    # the table and is fixed, so that the narrow key rows are not packed into a few tasks which then
+    # would do all the text work and spill it.
+    tasks = max(spark.sparkContext.defaultParallelism, orders.rdd.getNumPartitions(), -(-orders.count() // TASK_ORDERS))
     orders = orders.repartition(tasks, "o_orderkey")
     first_part = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_partkey").alias("p_partkey"))
     suppliers = supplier.agg(F.count("*").alias("n")).scalar()
     key = F.col("o_orderkey")
-    jobs = orders.select(
-        "o_orderkey", "o_orderdate", ((key - key % 5) / 5).cast("bigint").alias("jk"),
-        (key % 5).alias("snap_no"),
-    ).where(~((F.col("jk") % 10 == 9) & (F.col("snap_no") >= 3))).select(
+    job, snap = ((key - key % 5) / 5).cast("bigint"), key % 5
+    seen = orders.select("o_orderkey", "o_orderdate").where(~((job % 10 == 9) & (snap >= 3)))
+    # What follows from the key is added after the joins that move rows.
+    jobs = (
+        seen.join(first_part, "o_orderkey", "left")
+        .join(part.select("p_partkey", "p_name", "p_type", "p_brand"), "p_partkey", "left")
+        .select("*", job.alias("jk"), snap.alias("snap_no"))).select(
         "*", (F.col("jk") % suppliers).alias("s_suppkey"),
         (F.col("jk") % 25).cast("int").alias("n_nationkey"),
         F.explode(F.when(key % 50 == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
         .alias("variant"))
     base = (
-        jobs.join(first_part, "o_orderkey", "left")
-        .join(part.select("p_partkey", "p_name", "p_type", "p_brand"), "p_partkey", "left")
-        .join(supplier.select("s_suppkey", "s_name"), "s_suppkey")
+        jobs.join(supplier.select("s_suppkey", "s_name"), "s_suppkey")
         .join(nation.select("n_nationkey", "n_name"), "n_nationkey"))
     jk, sk = F.col("jk").cast("string"), F.col("s_suppkey")
     again = F.col("variant") == 1

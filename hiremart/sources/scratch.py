@@ -33,10 +33,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Hands out staged copies of DataFrames; ``close`` removes them once results are stored."""
+    """Hands out staged copies of DataFrames, written with ``options``; ``close`` removes them once results are stored."""
 
-    def __init__(self, spark: SparkSession) -> None:
-        self._spark = spark
+    def __init__(self, spark: SparkSession, **options: str) -> None:
+        self._spark, self._options = spark, options
         self._root = f"{checkpoint_root(spark)}/hiremart/{uuid.uuid4().hex}"
         self._count = 0
         atexit.register(self._forget)
@@ -49,7 +49,7 @@ class Scratch:
     def stage(self, df: DataFrame) -> DataFrame:
         self._count += 1
         path = f"{self._root}/{self._count:04d}"
-        df.write.parquet(path)
+        df.write.options(**self._options).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:

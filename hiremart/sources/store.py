@@ -7,6 +7,8 @@ are. A job that fails or is stopped before that leaves the table as it was and c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -56,20 +58,23 @@ class Store:
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
         """Write a whole table, which ``df`` may not read."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").options(**files.COMPACT).parquet(self.path(name))
         return self.read(name)
 
-    def replace(self, name: str, df: DataFrame, part: Column, of: list[str] | None = None) -> None:
+    def replace(self, name: str, df: DataFrame, part: Column, of: list[str] | None = None, placed: bool = False,
+                finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
         """Replace the parts that ``df`` has rows of; it may read them. Of the parts ``of``, those without rows now are deleted.
 
         A part should be small enough for a task, as all of it comes from one, in the order ``df`` gives within it.
+        ``placed`` rows are already where they are to be written. ``finish`` is applied after the rows were moved.
         """
         rows = df.withColumn(PART, part.cast("string"))
-        if of is None:  # parts of any size: small ones share a task, large ones are split
+        if of is None and not placed:  # parts of any size: small ones share a task, large ones are split
             rows = rows.hint("rebalance", PART)
         gone = set()
         if of is not None:
             gone = set(of) & set(self.parts(name)) - set(values_of(rows, F.col(PART)))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path(name))
+        finish(rows).write.mode("overwrite").options(partitionOverwriteMode="dynamic", **files.COMPACT).partitionBy(
+            PART).parquet(self.path(name))
         for old in gone:
             files.delete(self._spark, f"{self.path(name)}/{PART}={old}")

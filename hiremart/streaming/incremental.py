@@ -32,12 +32,15 @@ def late_rows(df: DataFrame, state: DataFrame, keys: list[str], at: str, mark: s
     return df.where(F.col(at) < _literal(mark)).join(state.select(*keys), keys, "left_anti")
 
 
-def delete_insert(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+def delete_insert(state: DataFrame, batch: DataFrame, keys: list[str], at: str | None = None, mark: str | None = None
+                  ) -> DataFrame:
     """Replace the stored rows of the batch's keys and add the rest; columns follow the batch.
 
-    Columns the state lacks are filled with nulls, columns the batch lacks are dropped.
+    Columns the state lacks are filled with nulls, columns the batch lacks are dropped. With the state's high-water
+    ``mark`` of ``at``, one of the keys, rows of the batch after it are not looked for among the stored.
     """
-    kept = state.join(batch.select(*keys), keys, "left_anti")
+    known = batch if mark is None else batch.where(F.col(at) <= _literal(mark))
+    kept = state.join(known.select(*keys), keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 

@@ -116,6 +116,15 @@ def test_keys(spark):
     assert one(spark, keys.surrogate_key("a") == F.md5(F.lit(keys.NULL_TOKEN)), a=None)
 
 
+def test_packed_keys_differ_and_come_back(spark):
+    texts = ["", "a", "b", "0b", "0" * 32, "A" * 32, "a" * 32, "f" * 32 + "\n", "ab" * 15, "é" * 8, "0" * 16, "\0" * 16, None]
+    packed = spark.createDataFrame([(t,) for t in texts], "k string").select("k", keys.packed_key("k").alias("p"))
+    rows = packed.select("k", "p", keys.unpacked_key("p").alias("back")).collect()
+    assert all(r["back"] == r["k"] for r in rows)
+    assert len({None if r["p"] is None else bytes(r["p"]) for r in rows}) == len(texts)
+    assert [r["k"] for r in rows if r["p"] is not None and len(r["p"]) == 16] == ["0" * 32, "a" * 32]
+
+
 @pytest.mark.parametrize("href, path, job", [
     ("https://h.example/viec-lam/abc/12.html?ta=1#x", "/viec-lam/abc/12.html", True),
     ("/brand/z/tuyen-dung/abc-j77.html", "/brand/z/tuyen-dung/abc-j77.html", True),

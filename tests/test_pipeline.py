@@ -158,6 +158,27 @@ def test_trend_states_follow_rewritten_days_only(spark, tmp_path):
     assert store.read("trend_state").count() == 6
 
 
+def test_facts_are_moved_as_bytes_and_trend_states_once(spark, tmp_path, monkeypatch):
+    """Shuffles before the writes of a run: digests travel as bytes, and a trend state is written where it was made."""
+    key = lambda c: F.md5(F.concat(F.lit(c), F.col("id").cast("string")))
+    facts = spark.range(40).withColumn("day", (F.col("id") % 2 + 1).cast("int")).select(
+        F.when(F.col("id") == 7, "no digest").when(F.col("id") == 8, F.upper(key("j"))).otherwise(key("j")).alias("job_bk"),
+        F.expr("make_timestamp_ntz(2024, 1, day, 1, 0, 0)").alias("snapshot_ts"), (F.col("day") + 20240100).alias("date_id"),
+        F.when(F.col("id") != 9, key("c")).alias("company_bk"), key("h").alias("snapshot_hash"),
+        *[F.lit(5).cast("decimal(14,2)").alias(c) for c in ("salary_min", "salary_max")])
+    store, plans, kind = Store(spark, str(tmp_path)), [], type(facts)
+    write = kind.write.fget
+    monkeypatch.setattr(kind, "write", property(
+        lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df)))
+    P.store_facts(store, facts.where("date_id = 20240101"))
+    P.store_facts(store, facts)
+    for state, trend in (plans[:2], plans[2:]):
+        assert "unhex" in state and state.count("REBALANCE") == 1
+        assert "unhex" in trend and trend.count("Exchange") == 1
+    assert sorted(map(str, store.read("fact_state").select(*facts.columns).collect())) == sorted(map(str, facts.collect()))
+    assert {r["job_bk"] for r in store.read("trend_state").collect()} == {r["job_bk"] for r in facts.collect()}
+
+
 def test_violations_stop_a_strict_run(spark, tmp_path):
     bad = [posting(1, 1, salary="25 - 18 triệu")]
     store = Store(spark, f"{tmp_path}/a")
