@@ -53,7 +53,7 @@ def _batch(scratch: Scratch, drop: DataFrame, gated: bool) -> DataFrame:
     seen = {c: rows.get.get(c) or 0 for c in ("row_count", "blank_keys", "bad_crawl_times")}
     if not gated:
         require_crawl_times(seen["bad_crawl_times"])
-    batch = scratch.stage(prepare_batch(staged).observe(keys, F.count("*").alias("keys")))
+    batch = scratch.stage(prepare_batch(staged, counted=True).observe(keys, F.count("*").alias("keys")))
     if gated:
         repeated = seen["row_count"] - seen["blank_keys"] - (keys.get.get("keys") or 0)
         require_counts({**seen, "missing_columns": "", "duplicate_keys": repeated})

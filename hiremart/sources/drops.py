@@ -12,6 +12,7 @@ from hiremart.operators.quality import QualityError
 from hiremart.sources import files
 
 POSITION = "_position"
+NO_TIME = "rows with missing or invalid crawled_at"
 # Raw table: the posting record with a typed crawl time, plus the time of first load.
 RAW_SCHEMA = T.StructType([
     *[T.StructField(c, T.TimestampNTZType() if c == "crawled_at" else T.StringType())
@@ -72,18 +73,25 @@ def write_drop(df: DataFrame, folder: str, cfg: Config, run_date: str,
     return path
 
 
-def prepare_batch(drop: DataFrame) -> DataFrame:
+def _crawl_time(drop: DataFrame) -> Column:
+    """The crawl time of a row; missing if it does not parse or the drop has none."""
+    return F.col("crawled_at").try_cast("timestamp_ntz") if "crawled_at" in drop.columns else F.lit(None).cast("timestamp_ntz")
+
+
+def prepare_batch(drop: DataFrame, counted: bool = False) -> DataFrame:
     """Drop to load-ready rows: keyed, typed, complete in columns, last row per key.
 
-    Rows without a link are left out. A crawl time that does not parse fails the whole load, so that
-    old data cannot pass as fresh.
+    Rows without a link are left out. Any other whose crawl time is missing or does not parse fails the job that reads
+    the batch, also where a later row of its link is sound, so that old data cannot pass as fresh. Of a ``counted`` drop
+    the caller has such rows counted and refuses the load itself (``require_crawl_times``).
     """
-    link = F.regexp_replace("job_url", r"(?U)^\s+|\s+$", "")
-    keyed = drop.withColumn("job_url", link).where(F.col("job_url") != "")
+    link, crawled = F.regexp_replace("job_url", r"(?U)^\s+|\s+$", ""), _crawl_time(drop)
+    # Part of the filter: no reader that leaves columns out leaves this out.
+    timed = F.lit(True) if counted else F.when(crawled.isNotNull(), F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit(f"{NO_TIME}: "), link)))
+    keyed = drop.where(F.when(link != "", timed).otherwise(F.lit(False))).withColumn("job_url", link)
     have = set(drop.columns)
     text = [c for c in POSTING_COLUMNS if c != "crawled_at"]
-    crawled = (F.col("crawled_at").try_cast("timestamp_ntz") if "crawled_at" in have
-               else F.lit(None).cast("timestamp_ntz"))
     typed = keyed.select(
         *[(F.nullif(F.col(c), F.lit("")) if c in have else F.lit(None).cast("string")).alias(c)
           for c in text],
@@ -98,14 +106,12 @@ def bad_crawl_times(drop: DataFrame) -> DataFrame:
 
 def drop_counters(drop: DataFrame) -> list[Column]:
     """What the gates of a load count in a drop: rows, rows without a link, rows with one but no crawl time."""
-    crawled = (F.col("crawled_at").try_cast("timestamp_ntz") if "crawled_at" in drop.columns
-               else F.lit(None).cast("timestamp_ntz"))
     linked = F.coalesce(F.regexp_replace("job_url", r"(?U)^\s+|\s+$", "") != "", F.lit(False))
     return [F.count("*").alias("row_count"), F.count_if(~linked).alias("blank_keys"),
-            F.count_if(linked & crawled.isNull()).alias("bad_crawl_times")]
+            F.count_if(linked & _crawl_time(drop).isNull()).alias("bad_crawl_times")]
 
 
 def require_crawl_times(bad: int) -> None:
     """Raise if any row with a link has no usable crawl time."""
     if bad:
-        raise QualityError(f"{bad} rows with missing or invalid crawled_at")
+        raise QualityError(f"{bad} {NO_TIME}")

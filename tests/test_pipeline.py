@@ -4,7 +4,7 @@ import os
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hiremart.config import POSTING_COLUMNS, Config
 from hiremart.operators.quality import QualityError
@@ -219,6 +219,25 @@ def test_last_duplicate_of_a_file_wins(spark, tmp_path):
     assert P.load(spark, store, drop, "2024-01-01 02:00:00") == 2
 
 
+def test_a_batch_with_an_unusable_crawl_time_is_no_result(spark, tmp_path):
+    """Without any gate before it: the job fails, whichever columns are read and also where a later row replaces the bad one."""
+    folders = (f"{tmp_path}/{n}" for n in range(9))
+
+    def drop(*rows, without=()):
+        return drops.read_drop(spark, drops.write_drop(frame(spark, rows).drop(*without), next(folders), CFG, "20240101"))
+
+    good, late = posting(1, 1), posting(2, 1, crawled_at="soon")
+    for bad in (drop(good, late), drop(late, posting(2, 1)), drop(good, posting(3, 1, crawled_at=None)), drop(good, without=["crawled_at"])):
+        for read in (DataFrame.collect, DataFrame.count, lambda batch: batch.select("title").collect()):
+            with pytest.raises(Exception, match="rows with missing or invalid crawled_at: https://j.example/viec-lam/x/"):
+                read(drops.prepare_batch(bad))
+        with pytest.raises(QualityError, match="rows with missing or invalid crawled_at"):
+            P.load(spark, Store(spark, f"{tmp_path}/store"), bad, "2024-01-01 02:00:00")
+    unlinked = drop(good, posting(4, 1, job_url=" ", crawled_at="soon"), posting(5, 1, job_url=None, crawled_at=None))
+    assert [r["crawled_at"] for r in drops.prepare_batch(unlinked).collect()] == [datetime(2024, 1, 1, 1)]
+    assert drops.prepare_batch(drop(good).where("false").drop("crawled_at")).count() == 0
+
+
 def test_store(spark, tmp_path):
     store, part = Store(spark, str(tmp_path)), F.col("d")
     assert not store.exists("t") and store.read("t", schema="d int").count() == 0
