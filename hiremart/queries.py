@@ -23,6 +23,7 @@ from hiremart.operators.upsert import upsert
 from hiremart.plans import checks as K, intermediate as I, marts as M, pipeline, reports as R
 from hiremart.plans.staging import GRAIN, salary_failures, stg_postings
 from hiremart.sources import drops
+from hiremart.sources.files import COMPACT
 from hiremart.sources.fixture import postings, read
 from hiremart.sources.fixture_pages import company_pages, detail_pages, listing_pages
 from hiremart.sources.scratch import Scratch
@@ -568,22 +569,34 @@ def dq_suite(spark, sf_dir):
 @query
 def dq_suite_damaged(spark, sf_dir):
     """Every declared check over tables with repeated rows, rows without required values and rows without parents."""
-    scratch = Scratch(spark)
-    sound, damaged = _tables(spark, sf_dir, scratch), {}
+    sound, damaged = _tables(spark, sf_dir, Scratch(spark, **COMPACT)), {}
 
     def table(name: str) -> DataFrame:
         if name not in damaged:
-            df, checks = sound(name), K.ALL[name]
-            key = F.col(checks.not_null[0]).cast("string")
-            none = {c: F.lit(None).cast(df.schema[c].dataType) for c in checks.not_null}
-            astray = {c: (-1 - F.col(c)).cast(df.schema[c].dataType) for c in checks.relationships}
-            df = df.unionByName(df.where(key.contains("1"))).unionByName(df.where(key.contains("2")).withColumns(none))
-            damaged[name] = scratch.stage(df.unionByName(sound(name).where(key.contains("3")).withColumns(astray)) if astray else df)
+            damaged[name] = _damaged(sound(name), K.ALL[name])
         return damaged[name]
 
     return K.report(K.ALL, table)
 
 
+def _damaged(df: DataFrame, checks: K.Checks) -> DataFrame:
+    """Each row, and by its first required value again, again without required values, again with foreign keys that are none.
+
+    Copies are made while the table is read, in one scan. They are not stored: a check reads few of the columns.
+    """
+    key = F.col(checks.not_null[0]).cast("string")
+    kinds = ("1", "2", "3") if checks.relationships else ("1", "2")
+    bits = sum((F.when(key.contains(k), F.lit(1 << n)).otherwise(F.lit(0)) for n, k in enumerate(kinds)), F.lit(0))
+    copies = F.array(*[F.array(*[F.lit(n) for n in range(4) if n == 0 or some >> n - 1 & 1]) for some in range(8)])
+    rows = df.select("*", F.explode(F.get(copies, bits)).alias("_copy"))
+    changed = {c: F.col(c) for c in (*checks.not_null, *checks.relationships)}
+    for c in checks.relationships:
+        changed[c] = F.when(F.col("_copy") == 3, (-1 - F.col(c)).cast(df.schema[c].dataType)).otherwise(changed[c])
+    for c in checks.not_null:
+        changed[c] = F.when(F.col("_copy") != 2, changed[c])
+    return rows.withColumns(changed).drop("_copy")
+
+
 # ---- scalar operators at table size
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from hiremart import queries as registry
 from hiremart.operators import quality as Q
+from hiremart.plans.checks import Checks
 from hiremart.sources import drops
 from hiremart.sources.scratch import Scratch
 from tests.conftest import SF
@@ -95,3 +96,28 @@ def test_tables_of_a_build_are_made_from_the_copies_of_those_before(spark):
             assert "Window" in plans[-1]
             table(history)
             assert "Window" not in plans[-1]
+
+
+def test_damaged_tables_are_made_as_they_are_read(spark):
+    """Copies by the first required value: again; again without required values; again with keys that are none. Nothing is stored."""
+    rows = spark.createDataFrame([("1", 5, None), ("2", None, 7), ("123", 8, 9), ("4", 3, 2), (None, 1, 1)], "a string, b int, c long")
+    checks = Checks(not_null=("a", "b"), relationships={"b": ("p", "k"), "c": ("p", "k")})
+    found = registry._damaged(rows, checks)
+    assert found.schema.simpleString() == rows.schema.simpleString()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        ("1", 5, None), ("2", None, 7), ("123", 8, 9), ("4", 3, 2), (None, 1, 1),
+        ("1", 5, None), ("123", 8, 9), (None, None, 7), (None, None, 9), ("123", -9, -10)], key=str)
+    assert registry._damaged(rows, Checks(not_null=("a", "b"))).count() == 9
+
+
+def test_the_suite_over_damaged_tables_stores_sound_ones_only(spark, monkeypatch):
+    staged = []
+
+    class Spy(Scratch):
+        def stage(self, df):
+            staged.append((self._options, df._jdf.queryExecution().optimizedPlan().toString()))
+            return super().stage(df)
+
+    monkeypatch.setattr(registry, "Scratch", Spy)
+    entry.queries()["dq_suite_damaged"](spark, SF)
+    assert 5 < len(staged) < 12 and all(options == {"compression": "zstd"} and "Union" not in plan for options, plan in staged)
